@@ -113,18 +113,26 @@ def tag_reviews(
     order_col: str = "arrival_seq",
     batch_col: str | None = None,
 ) -> DataFrame:
-    """Every raw row with ``drop_reason`` (null = kept), in the cleaner's step order."""
+    """Every raw row with ``drop_reason`` (null = kept), in the cleaner's step order.
+
+    All rows are kept, so the ``= 1`` pre-limit of ``clean_reviews`` does not
+    apply.  The first copy of each id comes from a partial ``min`` aggregation
+    (a hot id collapses to one counter per task) joined back on the id; rows
+    failing step 1 (null ids among them) bypass the join, so no single task
+    receives every null id.  ``order_col`` is unique per id.
+    """
+    keys = ([batch_col] if batch_col else []) + ["reviewId"]
     ok = F.col("reviewId").isNotNull() & F.col("score").isNotNull()
-    df = raw.withColumn("__ok", ok)
-    # rows failing step 1 form their own window partitions and never shadow a valid copy
-    w = _first_copy_window("reviewId", order_col, batch_col, extra_part=["__ok"])
-    df = df.withColumn("__rn", F.row_number().over(w))
+    good = raw.where(ok)
+    first = good.groupBy(*keys).agg(F.min(order_col).alias("__first"))
+    good = good.join(first, keys, "inner")
     reason = (
-        F.when(~F.col("__ok"), F.lit(DROP_MISSING))
-        .when(F.col("__rn") > 1, F.lit(DROP_DUPLICATE))
+        F.when(F.col(order_col) > F.col("__first"), F.lit(DROP_DUPLICATE))
         .when(~F.coalesce(to_double(F.col("score")).between(1.0, 5.0), F.lit(False)), F.lit(DROP_SCORE))
     )
-    return df.withColumn("drop_reason", reason).drop("__ok", "__rn")
+    good = good.withColumn("drop_reason", reason).drop("__first")
+    bad = raw.where(~ok).withColumn("drop_reason", F.lit(DROP_MISSING))
+    return good.unionByName(bad)
 
 
 def cleaning_stats(tagged: DataFrame, by: list[str] | None = None) -> DataFrame:

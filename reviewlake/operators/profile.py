@@ -19,13 +19,17 @@ from reviewlake.functions import timeparts as TP
 
 PCT_DIGITS = 4
 STAT_DIGITS = 6
-ALL = Window.partitionBy()  # only ever applied to small aggregated frames
 
 # Field classes of the completeness report.
 CRITICAL_FIELDS = ["reviewId", "content", "score"]
 NON_CRITICAL_FIELDS = ["reviewCreatedVersion", "replyContent", "repliedAt"]
 
 
+def ALL():
+    """Whole-frame window: only ever applied to small aggregated frames."""
+    return Window.partitionBy()
+
+
 def _pct(n, total):
     return F.round(n.cast("double") * F.lit(100.0) / total.cast("double"), PCT_DIGITS)
 
@@ -35,24 +39,24 @@ def _r(c):
 
 
 def share_of_total(counts: DataFrame, n: str = "review_count") -> DataFrame:
-    return counts.withColumn("pct", _pct(F.col(n), F.sum(n).over(ALL)))
+    return counts.withColumn("pct", _pct(F.col(n), F.sum(n).over(ALL())))
 
 
 # ---------------------------------------------------------------- ratings
 def rating_distribution(df: DataFrame, score: str = "score") -> DataFrame:
     """Rows per score with % of *all* rows (null scores count in the denominator)."""
     g = df.groupBy(score).agg(F.count(F.lit(1)).alias("review_count"))
-    g = g.withColumn("pct", _pct(F.col("review_count"), F.sum("review_count").over(ALL)))
+    g = g.withColumn("pct", _pct(F.col("review_count"), F.sum("review_count").over(ALL())))
     return g.where(F.col(score).isNotNull()).orderBy(score)
 
 
 def rating_distribution_filled(spark: SparkSession, df: DataFrame, score: str = "score") -> DataFrame:
     """Buckets 1..5, zero-filled; other scores count only in the denominator."""
     g = df.groupBy(score).agg(F.count(F.lit(1)).alias("n"))
-    g = g.withColumn("total", F.sum("n").over(ALL))
+    g = g.withColumn("total", F.sum("n").over(ALL()))
     buckets = spark.range(1, 6).select(F.col("id").cast("int").alias(score))
     j = buckets.join(g, score, "left")
-    total = F.max("total").over(ALL)  # 5 rows
+    total = F.max("total").over(ALL())  # 5 rows
     return j.select(
         F.col(score),
         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("review_count"),

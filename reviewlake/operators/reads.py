@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from reviewlake.functions.text import contains_ci, like_ci
 from reviewlake.operators.clean import ts_literal
 
-NEWEST_FIRST = [F.col("reviewed_at").desc_nulls_last(), F.col("review_id").asc()]
+def _newest_first_keys():
+    return [F.col("reviewed_at").desc_nulls_last(), F.col("review_id").asc()]
 
 
 def _empty(df: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def _app(df: DataFrame, app_id: str | None) -> DataFrame:
 
 
 def newest_first(df: DataFrame) -> DataFrame:
-    return df.orderBy(*NEWEST_FIRST)
+    return df.orderBy(*_newest_first_keys())
 
 
 def get_reviews(reviews: DataFrame, app_id: str | None = None, limit: int | None = None) -> DataFrame:

@@ -84,7 +84,7 @@ def raw_json(df: DataFrame):
 
 
 # ---------------------------------------------------------------- mapping
-def map_reviews(clean: DataFrame, run_ts, app_id: str | None = None) -> DataFrame:
+def map_reviews(clean: DataFrame, run_ts, app_id: str | None = None, keep: list[str] | None = None) -> DataFrame:
     """Cleaned reviews -> the 13-column ``reviews`` layout.
 
     Each row keeps its own ``app_id`` so all apps load in one job; pass
@@ -108,6 +108,7 @@ def map_reviews(clean: DataFrame, run_ts, app_id: str | None = None) -> DataFram
         raw_json(clean).alias("raw_data"),
         ts.alias("created_at"),
         ts.alias("updated_at"),
+        *[F.col(c) for c in (keep or [])],
     )
 
 
@@ -202,33 +203,39 @@ def validate_reviews(incoming: DataFrame, existing: DataFrame, apps: DataFrame,
 
     Checks in the order a row store applies them: NOT NULL, CHECK 1..5, primary
     key (earlier incoming copy, then a stored row), foreign key to ``apps``.
-    ``order_col`` decides which incoming copy of a key comes first.
-    One shuffle on ``review_id`` for the in-batch duplicates; the key probes are
-    broadcast only behind the row-count check.
+    ``order_col`` (unique) decides which incoming copy of a key comes first.
+
+    Rows with a null id skip the key joins (no task collects all null ids).
+    The first copy per id is a partial ``min`` aggregation joined back; the
+    stored keys are probed against a broadcast of the incoming keys when those
+    fit the bound, else joined by shuffle; ``apps`` is broadcast behind the
+    same check.
     """
-    inc = incoming
-    w = Window.partitionBy("review_id", F.col("review_id").isNull()).orderBy(F.col(order_col).asc())
-    inc = inc.withColumn("__rn", F.row_number().over(w))
-    ekeys = existing.select(F.col("review_id").alias("__ek")).withColumn("__exists", F.lit(True))
-    if fits(inc.select("review_id"), max_broadcast_rows):
-        ekeys = ekeys.join(F.broadcast(inc.select(F.col("review_id").alias("__ek"))), "__ek", "left_semi")
-        ekeys = F.broadcast(ekeys)
-    inc = inc.join(ekeys, inc.review_id == ekeys.__ek, "left").drop("__ek")
-    akeys = apps.select(F.col("app_id").alias("__ak")).where(F.col("__ak").isNotNull()).withColumn("__app", F.lit(True))
+    has_id = F.col("review_id").isNotNull()
+    keyed = incoming.where(has_id)
+    first = keyed.groupBy("review_id").agg(F.min(order_col).alias("__first"))
+    keyed = keyed.join(first, "review_id", "inner")
+    ekeys = existing.select("review_id").where(F.col("review_id").isNotNull())
+    if fits(keyed.select("review_id"), max_broadcast_rows):
+        ekeys = F.broadcast(ekeys.join(F.broadcast(keyed.select("review_id")), "review_id", "left_semi"))
+    keyed = keyed.join(ekeys.distinct().withColumn("__exists", F.lit(True)), "review_id", "left")
+    keyless = incoming.where(~has_id).withColumn("__first", F.col(order_col)).withColumn("__exists", F.lit(False))
+    inc = keyed.unionByName(keyless)
+    akeys = apps.select("app_id").where(F.col("app_id").isNotNull()).distinct().withColumn("__app", F.lit(True))
     if fits(akeys, max_broadcast_rows):
         akeys = F.broadcast(akeys)
-    inc = inc.join(akeys, inc.app_id == akeys.__ak, "left").drop("__ak")
+    inc = inc.join(akeys, "app_id", "left")
     reason = (
         F.when(F.col("review_id").isNull(), F.lit("null_review_id"))
         .when(F.col("app_id").isNull(), F.lit("null_app_id"))
         .when(F.col("score").isNull(), F.lit("null_score"))
         .when(~F.col("score").between(1, 5), F.lit("score_out_of_range"))
         .when(F.col("content").isNull(), F.lit("null_content"))
-        .when(F.col("__rn") > 1, F.lit("duplicate_key"))
+        .when(F.col(order_col) > F.col("__first"), F.lit("duplicate_key"))
         .when(F.coalesce(F.col("__exists"), F.lit(False)), F.lit("existing_key"))
         .when(~F.coalesce(F.col("__app"), F.lit(False)), F.lit("orphan_app"))
     )
-    return inc.withColumn("reject_reason", reason).drop("__rn", "__exists", "__app")
+    return inc.withColumn("reject_reason", reason).drop("__first", "__exists", "__app")
 
 
 def cascade_delete(apps: DataFrame, reviews: DataFrame, app_ids: DataFrame,

@@ -135,13 +135,14 @@ def clean_cte(name: str = "clean", src: str = "raw_reviews", batch: bool = False
   FROM {name}_c3 WHERE score_num BETWEEN 1 AND 5)"""
 
 
-def reviews_cte(name: str = "reviews", src: str = "clean", run_ts: str = RUN_TS) -> str:
+def reviews_cte(name: str = "reviews", src: str = "clean", run_ts: str = RUN_TS, keep: str = "") -> str:
     """Mapped ``reviews`` table without ``raw_data``."""
+    keep = f", {keep}" if keep else ""
     return f"""{name} AS (
   SELECT reviewId AS review_id, app_id, userName AS user_name, score, content, reviewed_at,
     reviewCreatedVersion AS review_created_version, CAST(round_even(thumbsUpCount, 0) AS BIGINT) AS thumbs_up_count,
     replyContent AS reply_content, {ts('repliedAt')} AS replied_at,
-    {tsl(run_ts)} AS created_at, {tsl(run_ts)} AS updated_at
+    {tsl(run_ts)} AS created_at, {tsl(run_ts)} AS updated_at{keep}
   FROM {src})"""
 
 
@@ -292,3 +293,165 @@ o("duplicate_ids", with_(*BASE) + """SELECT CAST(count(reviewId) - count(DISTINC
 o("invalid_scores", with_(*BASE, TYPED) + "SELECT count(*) FILTER (WHERE score_num < 1 OR score_num > 5) AS invalid_scores FROM typed")
 o("empty_content", with_(*BASE) + f"""SELECT empty_content, total, {pct('empty_content', 'total')} AS pct FROM (
   SELECT count(*) FILTER (WHERE {strip("coalesce(content, '')")} = '') AS empty_content, count(*) AS total FROM raw_reviews)""")
+
+# ---------------------------------------------------------------- tables and reads
+o("reviews_mapped", with_(*REVIEWS) + "SELECT * FROM reviews")
+o("apps_mapped", with_(*APPS) + "SELECT * FROM apps")
+o("raw_json", with_(*CLEAN) + """SELECT reviewId AS review_id, reviewId AS j_review_id, CAST(score AS VARCHAR) AS j_score,
+  content AS j_content, userName AS j_user_name, CAST(arrival_seq AS VARCHAR) AS j_arrival_seq, app_id AS j_app_id FROM clean""")
+o("raw_json_apps", with_(RAW_APPS, clean_apps_cte()) + """SELECT coalesce(appId, '') AS app_id, appId AS j_app_id, title AS j_title,
+  CAST(ratings AS VARCHAR) AS j_ratings FROM clean_apps""")
+o("app_summary", with_(*APPS) + """SELECT app_id, title, developer, genre, score, ratings, reviews_count, installs, released,
+  last_updated FROM apps""")
+_RV = with_(*REVIEWS)
+_NEWEST = " ORDER BY reviewed_at DESC NULLS LAST, review_id"
+o("reviews_all", _RV + "SELECT * FROM reviews")
+o("reviews_by_app", _RV + "SELECT * FROM reviews WHERE app_id = 'com.view'")
+o("reviews_latest", _RV + "SELECT * FROM reviews" + _NEWEST + " LIMIT 100")
+o("reviews_by_date_range", _RV + """SELECT * FROM reviews WHERE app_id = 'com.click'
+  AND reviewed_at BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 12:00:00'""")
+o("reviews_by_score_range", _RV + "SELECT * FROM reviews WHERE app_id = 'com.purchase' AND score BETWEEN 2 AND 4")
+o("reviews_recent", _RV + "SELECT * FROM reviews WHERE app_id = 'com.view' AND reviewed_at >= TIMESTAMP '2024-01-25 00:00:00'")
+o("search_reviews", _RV + "SELECT * FROM reviews WHERE app_id = 'com.signup' AND contains(lower(content), lower('50% OFF_'))")
+o("search_reviews_like", _RV + "SELECT * FROM reviews WHERE app_id = 'com.signup' AND lower(content) LIKE '%gr_at%app%'")
+o("app_lookup", with_(*APPS) + "SELECT * FROM apps WHERE app_id = 'com.view'")
+o("review_count_by_app", _RV + "SELECT count(*) AS review_count FROM reviews WHERE app_id = 'com.view'")
+o("preview", with_(*CLEAN) + "SELECT reviewId, userName, score, reviewed_at, content FROM clean ORDER BY arrival_seq LIMIT 3")
+o("sample_reviews", with_(*CLEAN) + f"""SELECT reviewId, content, {script('content')} AS script FROM clean
+ORDER BY md5(reviewId), reviewId LIMIT 500""")
+o("feed_order_rating", _RV + """SELECT * FROM reviews
+ORDER BY score DESC NULLS LAST, reviewed_at DESC NULLS LAST, review_id LIMIT 200""")
+o("feed_order_relevant", _RV + """SELECT * FROM reviews
+ORDER BY thumbs_up_count DESC NULLS LAST, reviewed_at DESC NULLS LAST, review_id LIMIT 200""")
+
+_RA = with_(*REVIEWS, *APPS)
+o("table_counts", _RA + """SELECT 'apps' AS table_name, count(*) AS row_count FROM apps
+UNION ALL SELECT 'reviews', count(*) FROM reviews""")
+o("reviews_by_app_counts", _RV + "SELECT app_id, count(*) AS review_count FROM reviews GROUP BY app_id")
+o("reviews_by_score_counts", _RV + "SELECT score, count(*) AS review_count FROM reviews GROUP BY score")
+o("statistics", _RA + """SELECT 'table' AS section, 'apps' AS item, count(*) AS value FROM apps
+UNION ALL SELECT 'table', 'reviews', count(*) FROM reviews
+UNION ALL SELECT 'app', app_id, count(*) FROM reviews GROUP BY app_id
+UNION ALL SELECT 'score', CAST(score AS VARCHAR), count(*) FROM reviews GROUP BY score""")
+
+# ---------------------------------------------------------------- merges
+LOADS = [f"""typed2 AS (SELECT *, {ts('at_text')} AS at_ts2 FROM raw_reviews)""",
+         f"load1 AS (SELECT * EXCLUDE (at_ts2) FROM typed2 WHERE at_ts2 < {tsl(CUTOFF)})",
+         f"load2 AS (SELECT * EXCLUDE (at_ts2) FROM typed2 WHERE at_ts2 IS NULL OR at_ts2 >= {tsl(CUTOFF)})"]
+o("insert_new_reviews", with_(RAW_REVIEWS, *LOADS, clean_cte("c1", "load1"), clean_cte("c2", "load2"),
+                              reviews_cte("r1", "c1"), reviews_cte("r2", "c2", RUN_TS2))
+  + "SELECT * FROM r2 WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.review_id = r2.review_id)")
+
+RAW_APPS_UPDATE = r"""raw_apps_update AS (
+SELECT concat('com.', t.event_type) AS appId, p.p_name AS title, p.p_brand AS developer, p.p_type AS genre,
+ cast(p.p_size AS string) AS score, cast(p.p_partkey * 100 AS string) AS ratings, 'Jan 20, 2026' AS released,
+ '2026-01-25T08:00:00Z' AS lastUpdatedOn, cast(p.p_retailprice AS string) AS price
+FROM (SELECT event_type, row_number() OVER (ORDER BY event_type) + 10 AS k FROM (SELECT DISTINCT event_type FROM events) x WHERE event_type <> 'view') t
+JOIN part p ON p.p_partkey = t.k
+)"""
+_APP_DATA = ["title", "developer", "genre", "category", "score", "ratings", "reviews_count", "installs", "min_installs",
+             "real_installs", "price", "currency", "free", "released", "last_updated", "version", "content_rating",
+             "description"]
+o("upsert_apps", with_(RAW_APPS, clean_apps_cte(), apps_cte("old"), RAW_APPS_UPDATE,
+                       clean_apps_cte("clean_new", "raw_apps_update"), apps_cte("new", "clean_new", RUN_TS2))
+  + "SELECT coalesce(n.app_id, o.app_id) AS app_id, "
+  + ", ".join(f"CASE WHEN n.app_id IS NOT NULL THEN n.{c} ELSE o.{c} END AS {c}" for c in _APP_DATA)
+  + f""", CASE WHEN n.app_id IS NOT NULL THEN coalesce(o.created_at, {tsl(RUN_TS2)}) ELSE o.created_at END AS created_at,
+  CASE WHEN n.app_id IS NOT NULL THEN {tsl(RUN_TS2)} ELSE o.updated_at END AS updated_at
+FROM old o FULL OUTER JOIN new n ON o.app_id = n.app_id""")
+o("accepted_reviews", _RA + "SELECT * FROM reviews r WHERE EXISTS (SELECT 1 FROM apps a WHERE a.app_id = r.app_id)")
+o("orphan_reviews", _RA + "SELECT * FROM reviews r WHERE NOT EXISTS (SELECT 1 FROM apps a WHERE a.app_id = r.app_id)")
+o("constraint_rejects", with_(RAW_REVIEWS, *LOADS, clean_cte("c1", "load1"), reviews_cte("r1", "c1"), *APPS, f"""inc AS (
+  SELECT arrival_seq, reviewId AS review_id, app_id, {num('score')} AS score, content FROM raw_reviews)""", """inc2 AS (
+  SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY arrival_seq) AS rn,
+    EXISTS (SELECT 1 FROM r1 WHERE r1.review_id = inc.review_id) AS ex,
+    EXISTS (SELECT 1 FROM apps a WHERE a.app_id = inc.app_id) AS ap FROM inc)""") + """
+SELECT arrival_seq, review_id, app_id, CASE WHEN review_id IS NULL THEN 'null_review_id' WHEN app_id IS NULL THEN 'null_app_id'
+  WHEN score IS NULL THEN 'null_score' WHEN NOT (score BETWEEN 1 AND 5) THEN 'score_out_of_range'
+  WHEN content IS NULL THEN 'null_content' WHEN rn > 1 THEN 'duplicate_key' WHEN ex THEN 'existing_key'
+  WHEN NOT ap THEN 'orphan_app' END AS reject_reason FROM inc2""")
+o("cascade_delete_apps", with_(*APPS) + "SELECT * FROM apps WHERE app_id NOT IN (SELECT app_id FROM apps WHERE score < 25)")
+o("cascade_delete_reviews", _RA + """SELECT review_id, app_id, score FROM reviews
+WHERE app_id NOT IN (SELECT app_id FROM apps WHERE score < 25)""")
+
+# ---------------------------------------------------------------- incremental run
+INC = [RAW_REVIEWS, BATCHED, clean_cte("cb", "raw_batched", batch=True),
+       "ins AS (SELECT * FROM cb QUALIFY row_number() OVER (PARTITION BY reviewId ORDER BY batch_no, arrival_seq) = 1)"]
+o("incremental_ingest", with_(*INC, reviews_cte("r", "ins", keep="batch_no")) + "SELECT * FROM r")
+_METRICS = with_(*INC, """f AS (SELECT batch_no, count(*) AS fetched_count FROM raw_batched GROUP BY 1),
+c AS (SELECT batch_no, count(*) AS n FROM cb GROUP BY 1),
+i AS (SELECT batch_no, count(*) AS n FROM ins GROUP BY 1),
+m AS (SELECT f.batch_no, f.fetched_count, CAST(coalesce(c.n, 0) AS BIGINT) AS cleaned_count,
+  CAST(coalesce(i.n, 0) AS BIGINT) AS inserted_count,
+  CAST(greatest(coalesce(c.n, 0) - coalesce(i.n, 0), 0) AS BIGINT) AS duplicates_or_existing,
+  coalesce(c.n, 0) = 0 AS clean_empty
+  FROM f LEFT JOIN c USING (batch_no) LEFT JOIN i USING (batch_no))""")
+o("batch_metrics", _METRICS + "SELECT * FROM m")
+o("run_status", _METRICS + """SELECT count(*) AS batches_processed, CAST(sum(fetched_count) AS BIGINT) AS total_reviews_fetched,
+  CAST(sum(cleaned_count) AS BIGINT) AS total_reviews_cleaned, CAST(sum(inserted_count) AS BIGINT) AS total_reviews_inserted,
+  CAST(sum(duplicates_or_existing) AS BIGINT) AS total_duplicates_or_existing,
+  CASE WHEN coalesce(sum(fetched_count), 0) = 0 THEN 'failed' ELSE 'success' END AS status,
+  CASE WHEN coalesce(sum(inserted_count), 0) > 0 THEN 'success' ELSE 'failed' END AS reference_status FROM m""")
+o("feed_slice", with_(*BASE) + """SELECT arrival_seq, reviewId, app_id, max(arrival_seq) OVER () AS next_token
+FROM (SELECT * FROM raw_reviews ORDER BY arrival_seq LIMIT 200)""")
+o("feed_slice_resume", with_(*BASE) + """SELECT arrival_seq, reviewId, app_id, max(arrival_seq) OVER () AS next_token
+FROM (SELECT * FROM raw_reviews WHERE arrival_seq > (SELECT max(arrival_seq) FROM (SELECT arrival_seq FROM raw_reviews
+  ORDER BY arrival_seq LIMIT 200)) ORDER BY arrival_seq LIMIT 200)""")
+o("pages_union", with_(RAW_REVIEWS, BATCHED) + """SELECT * FROM raw_batched WHERE batch_no % 2 = 0
+UNION ALL BY NAME SELECT * EXCLUDE (extra, reviewCreatedVersion) FROM raw_batched WHERE batch_no % 2 = 1""")
+o("required_field_conformance", with_(RAW_REVIEWS, BATCHED, """g AS (SELECT app_id, batch_no, count(*) AS total_rows,
+  count(*) FILTER (WHERE reviewId IS NULL) AS m_reviewId, count(*) FILTER (WHERE content IS NULL) AS m_content,
+  count(*) FILTER (WHERE score IS NULL) AS m_score FROM raw_batched GROUP BY 1, 2)""") + " UNION ALL ".join(
+    f"SELECT app_id, batch_no, '{f}' AS field, m_{f} AS missing_rows, total_rows, m_{f} = total_rows AS all_missing FROM g"
+    for f in ("reviewId", "content", "score")))
+
+# ---------------------------------------------------------------- monitoring
+HISTORY = [RAW_REVIEWS, f"""hist_base AS (
+  SELECT app_id, reviewId, {ts('at_text')} AS at_ts, {num('score')} BETWEEN 1 AND 5 AS ok FROM raw_reviews)""",
+           """hist_g AS (
+  SELECT app_id, CAST(at_ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE ok) AS n_ok,
+    count(DISTINCT CASE WHEN ok THEN reviewId END) AS n_new FROM hist_base WHERE at_ts IS NOT NULL GROUP BY 1, 2)""",
+           """hist_f AS (
+  SELECT *, CASE WHEN app_id = 'com.view' THEN 'incremental' ELSE 'standard' END AS mode,
+    CAST(day AS TIMESTAMP) + INTERVAL 2 HOUR AS st,
+    CASE WHEN dayofmonth(day) % 7 = 0 THEN 0 WHEN dayofmonth(day) % 5 = 0 THEN 1 ELSE 20 END AS factor FROM hist_g)""",
+           """history AS (
+  SELECT concat_ws('-', app_id, mode, strftime(day, '%Y%m%d')) AS run_id, mode, app_id, 'warehouse/reviews' AS db_path,
+    st AS start_time_utc, st + to_seconds(n) AS end_time_utc, CAST(n AS DOUBLE) AS duration_seconds,
+    CASE WHEN n * factor = 0 THEN 'failed' ELSE 'success' END AS status, CAST(NULL AS BIGINT) AS target_reviews,
+    true AS fetch_app_info, CAST(CASE WHEN n * factor = 0 THEN 0 ELSE ceil(n / 100) END AS BIGINT) AS batches_processed,
+    CAST(n * factor AS BIGINT) AS total_reviews_fetched, CAST(n_ok * factor AS BIGINT) AS total_reviews_cleaned,
+    CAST(n_new * factor AS BIGINT) AS total_reviews_inserted,
+    CAST(greatest(n_ok * factor - n_new * factor, 0) AS BIGINT) AS total_duplicates_or_existing,
+    CASE WHEN n * factor = 0 THEN 'fetch_reviews' END AS error_stage,
+    CASE WHEN n * factor = 0 THEN 'No reviews fetched' END AS error_message FROM hist_f)""",
+           """prev AS (
+  SELECT *, lag(run_id) OVER w AS previous_run_id, lag(status) OVER w AS previous_status,
+    lag(total_reviews_fetched) OVER w AS previous_fetched, lag(total_reviews_inserted) OVER w AS previous_inserted
+  FROM history WINDOW w AS (PARTITION BY app_id, mode ORDER BY end_time_utc, run_id))""",
+           """mon AS (
+  SELECT *, CASE WHEN previous_run_id IS NOT NULL AND coalesce(previous_fetched, 0) > 0 THEN
+      round(((coalesce(total_reviews_fetched, 0) - previous_fetched)::DOUBLE / previous_fetched::DOUBLE) * 100.0, 2) END AS fetched_change_pct,
+    CASE WHEN previous_run_id IS NOT NULL AND coalesce(previous_inserted, 0) > 0 THEN
+      round(((coalesce(total_reviews_inserted, 0) - previous_inserted)::DOUBLE / previous_inserted::DOUBLE) * 100.0, 2) END AS inserted_change_pct
+  FROM prev)""",
+           """anom AS (
+  SELECT *, list_filter([
+    CASE WHEN status = 'failed' THEN 'run_failed' END,
+    CASE WHEN previous_run_id IS NOT NULL AND fetched_change_pct <= -80 THEN 'material_fetched_drop' END,
+    CASE WHEN previous_run_id IS NOT NULL AND inserted_change_pct <= -80 THEN 'material_inserted_drop' END,
+    CASE WHEN previous_run_id IS NOT NULL AND coalesce(total_reviews_inserted, 0) = 0 AND coalesce(previous_inserted, 0) > 0
+         THEN 'zero_inserted_after_nonzero_baseline' END,
+    CASE WHEN previous_run_id IS NOT NULL AND coalesce(total_reviews_fetched, 0) = 0 AND coalesce(previous_fetched, 0) > 0
+         THEN 'zero_fetched_after_nonzero_baseline' END], lambda x: x IS NOT NULL) AS anomalies FROM mon)"""]
+_H = with_(*HISTORY)
+o("previous_run", _H + """SELECT run_id, app_id, mode, previous_run_id, previous_status, previous_fetched, previous_inserted FROM prev""")
+o("run_change_pct", _H + "SELECT run_id, fetched_change_pct, inserted_change_pct FROM mon")
+o("run_anomalies", _H + """SELECT run_id, array_to_string(anomalies, ',') AS anomaly_list, len(anomalies) > 0 AS material_change_detected
+FROM anom""")
+o("latest_run", _H + """SELECT app_id, mode, run_id, end_time_utc, status FROM history
+QUALIFY row_number() OVER (PARTITION BY app_id, mode ORDER BY end_time_utc DESC, run_id DESC) = 1""")
+o("run_events", _H + """SELECT run_id, 0 AS seq, 'run_started' AS event, CAST(NULL AS BIGINT) AS fetched, CAST(NULL AS VARCHAR) AS error_stage
+FROM history UNION ALL
+SELECT run_id, 1, CASE WHEN status = 'success' THEN 'run_completed' ELSE 'run_failed' END, total_reviews_fetched, error_stage
+FROM history""")

@@ -14,9 +14,12 @@ from reviewlake.functions import coerce as C
 from reviewlake.functions import text as T
 from reviewlake.functions import timeparts as TP
 from reviewlake.operators import clean as CL
+from reviewlake.operators import monitor as M
 from reviewlake.operators import profile as P
 from reviewlake.operators import reads as R
 from reviewlake.operators import tables as TB
+from reviewlake.plans import ingest as IG
+from reviewlake.sources import feed as FD
 from reviewlake.sources import fixture as FX
 
 AS_OF = "2024-02-01 00:00:00"
@@ -277,3 +280,305 @@ def _(spark, d):
 @q("empty_content")
 def _(spark, d):
     return P.empty_content(raw(spark, d))
+
+
+# ---------------------------------------------------------------- tables
+@q("reviews_mapped")
+def _(spark, d):
+    return reviews(spark, d)
+
+
+@q("apps_mapped")
+def _(spark, d):
+    return apps(spark, d)
+
+
+@q("raw_json")
+def _(spark, d):
+    r = reviews_full(spark, d)
+    j = lambda p: F.get_json_object("raw_data", p)
+    return r.select(
+        "review_id",
+        j("$.reviewId").alias("j_review_id"), j("$.score").alias("j_score"), j("$.content").alias("j_content"),
+        j("$.userName").alias("j_user_name"), j("$.arrival_seq").alias("j_arrival_seq"), j("$.app_id").alias("j_app_id"),
+    )
+
+
+@q("raw_json_apps")
+def _(spark, d):
+    a = apps_full(spark, d)
+    j = lambda p: F.get_json_object("raw_data", p)
+    return a.select("app_id", j("$.appId").alias("j_app_id"), j("$.title").alias("j_title"), j("$.ratings").alias("j_ratings"))
+
+
+@q("app_summary")
+def _(spark, d):
+    return apps(spark, d).select(
+        "app_id", "title", "developer", "genre", "score", "ratings", "reviews_count", "installs", "released", "last_updated"
+    )
+
+
+# ---------------------------------------------------------------- reads
+@q("reviews_all")
+def _(spark, d):
+    return R.get_reviews(reviews(spark, d))
+
+
+@q("reviews_by_app")
+def _(spark, d):
+    return R.get_reviews(reviews(spark, d), app_id="com.view")
+
+
+@q("reviews_latest")
+def _(spark, d):
+    return R.get_reviews(reviews(spark, d), limit=100)
+
+
+@q("reviews_by_date_range")
+def _(spark, d):
+    return R.reviews_by_date_range(reviews(spark, d), "com.click", "2024-01-10", "2024-01-12 12:00:00")
+
+
+@q("reviews_by_score_range")
+def _(spark, d):
+    return R.reviews_by_score(reviews(spark, d), "com.purchase", 2, 4)
+
+
+@q("reviews_recent")
+def _(spark, d):
+    return R.recent_reviews(reviews(spark, d), "com.view", AS_OF, days=7)
+
+
+@q("search_reviews")
+def _(spark, d):
+    return R.search_reviews(reviews(spark, d), "com.signup", "50% OFF_")
+
+
+@q("search_reviews_like")
+def _(spark, d):
+    return R.search_reviews(reviews(spark, d), "com.signup", "gr_at%app", mode="like")
+
+
+@q("app_lookup")
+def _(spark, d):
+    return R.app_info(apps(spark, d), "com.view")
+
+
+@q("review_count_by_app")
+def _(spark, d):
+    return R.review_count(reviews(spark, d), "com.view")
+
+
+@q("preview")
+def _(spark, d):
+    c = clean(spark, d).orderBy("arrival_seq").limit(3)
+    return c.select("reviewId", "userName", "score", "reviewed_at", "content")
+
+
+@q("sample_reviews")
+def _(spark, d):
+    c = clean(spark, d).orderBy(F.md5(F.col("reviewId")), "reviewId").limit(500)
+    return c.select("reviewId", "content", T.script_class("content").alias("script"))
+
+
+@q("feed_order_rating")
+def _(spark, d):
+    return R.feed_order(reviews(spark, d), "RATING").limit(200)
+
+
+@q("feed_order_relevant")
+def _(spark, d):
+    return R.feed_order(reviews(spark, d), "MOST_RELEVANT").limit(200)
+
+
+# ---------------------------------------------------------------- statistics
+@q("table_counts")
+def _(spark, d):
+    a = apps(spark, d).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("apps").alias("table_name"), "row_count")
+    r = reviews(spark, d).agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("reviews").alias("table_name"), "row_count")
+    return a.unionByName(r)
+
+
+@q("reviews_by_app_counts")
+def _(spark, d):
+    return reviews(spark, d).groupBy("app_id").agg(F.count(F.lit(1)).alias("review_count"))
+
+
+@q("reviews_by_score_counts")
+def _(spark, d):
+    return reviews(spark, d).groupBy("score").agg(F.count(F.lit(1)).alias("review_count")).orderBy("score")
+
+
+@q("statistics")
+def _(spark, d):
+    r, a = reviews(spark, d), apps(spark, d)
+    cnt = F.count(F.lit(1)).alias("value")
+    return (
+        a.agg(cnt).select(F.lit("table").alias("section"), F.lit("apps").alias("item"), "value")
+        .unionByName(r.agg(cnt).select(F.lit("table").alias("section"), F.lit("reviews").alias("item"), "value"))
+        .unionByName(r.groupBy("app_id").agg(cnt).select(F.lit("app").alias("section"), F.col("app_id").alias("item"), "value"))
+        .unionByName(r.groupBy("score").agg(cnt).select(F.lit("score").alias("section"), F.col("score").cast("string").alias("item"), "value"))
+    )
+
+
+# ---------------------------------------------------------------- merges
+def _loads(spark, d):
+    """The feed as two loads split at the cutoff time (unparsable times go to the later load)."""
+    r = raw(spark, d)
+    t = C.to_timestamp_ntz(TIME_COL)
+    first = r.where(t < CL.ts_literal(CUTOFF))
+    second = r.where(t.isNull() | (t >= CL.ts_literal(CUTOFF)))
+    return first, second
+
+
+@q("insert_new_reviews")
+def _(spark, d):
+    first, second = _loads(spark, d)
+    existing = TB.map_reviews(CL.clean_reviews(first, AS_OF, time_col=TIME_COL), RUN_TS)
+    incoming = TB.map_reviews(CL.clean_reviews(second, AS_OF, time_col=TIME_COL), RUN_TS2)
+    return no_raw(TB.insert_new(existing, incoming))
+
+
+@q("upsert_apps")
+def _(spark, d):
+    old = apps_full(spark, d)
+    new = TB.map_apps(CL.clean_apps(FX.raw_apps_update(spark, d)), RUN_TS2)
+    return no_raw(TB.upsert(old, new, RUN_TS2))
+
+
+@q("accepted_reviews")
+def _(spark, d):
+    return TB.accepted_by_fk(reviews(spark, d), apps(spark, d))
+
+
+@q("orphan_reviews")
+def _(spark, d):
+    return TB.orphans_by_fk(reviews(spark, d), apps(spark, d))
+
+
+@q("constraint_rejects")
+def _(spark, d):
+    first, _second = _loads(spark, d)
+    existing = reviews_from(first, spark)
+    r = raw(spark, d)
+    incoming = r.select(
+        "arrival_seq",
+        F.col("reviewId").alias("review_id"),
+        "app_id",
+        C.to_double("score").alias("score"),
+        F.col("content"),
+    )
+    v = TB.validate_reviews(incoming, existing, apps(spark, d), order_col="arrival_seq")
+    return v.select("arrival_seq", "review_id", "app_id", "reject_reason")
+
+
+def reviews_from(raw_df, spark):
+    return TB.map_reviews(CL.clean_reviews(raw_df, AS_OF, time_col=TIME_COL), RUN_TS).drop("raw_data")
+
+
+def _deleted_apps(spark, d):
+    """Apps scored below 25 are withdrawn (a data rule, not a list of ids)."""
+    return apps(spark, d).where(F.col("score") < 25).select("app_id")
+
+
+@q("cascade_delete_apps")
+def _(spark, d):
+    a, _r = TB.cascade_delete(apps(spark, d), reviews(spark, d), _deleted_apps(spark, d))
+    return a
+
+
+@q("cascade_delete_reviews")
+def _(spark, d):
+    _a, r = TB.cascade_delete(apps(spark, d), reviews(spark, d), _deleted_apps(spark, d))
+    return r.select("review_id", "app_id", "score")
+
+
+# ---------------------------------------------------------------- incremental run
+def batched(spark, d):
+    return FX.with_batch_no(raw(spark, d), BATCH_ROWS)
+
+
+@q("incremental_ingest")
+def _(spark, d):
+    return no_raw(IG.incremental_reviews(batched(spark, d), AS_OF, RUN_TS, time_col=TIME_COL))
+
+
+def _metrics(spark, d):
+    b = batched(spark, d)
+    c = IG.incremental_clean(b, AS_OF, time_col=TIME_COL)
+    return IG.batch_metrics(b, c, IG.incremental_inserted(c))
+
+
+@q("batch_metrics")
+def _(spark, d):
+    return _metrics(spark, d)
+
+
+@q("run_status")
+def _(spark, d):
+    return IG.run_totals(_metrics(spark, d))
+
+
+@q("feed_slice")
+def _(spark, d):
+    s = FD.feed_slice(raw(spark, d), token=None, count=200)
+    return s.select("arrival_seq", "reviewId", "app_id", "next_token")
+
+
+@q("feed_slice_resume")
+def _(spark, d):
+    feed = raw(spark, d)
+    token = FD.next_token(FD.feed_slice(feed, token=None, count=200))
+    s = FD.feed_slice(feed, token=token, count=200)
+    return s.select("arrival_seq", "reviewId", "app_id", "next_token")
+
+
+@q("pages_union")
+def _(spark, d):
+    b = batched(spark, d)
+    even = b.where(F.col("batch_no") % 2 == 0)
+    odd = b.where(F.col("batch_no") % 2 == 1).drop("extra", "reviewCreatedVersion")
+    return FD.pages_union([even, odd])
+
+
+@q("required_field_conformance")
+def _(spark, d):
+    return FD.required_field_conformance(batched(spark, d), ["app_id", "batch_no"])
+
+
+# ---------------------------------------------------------------- monitoring
+def history(spark, d):
+    return FX.run_history(spark, d)
+
+
+@q("previous_run")
+def _(spark, d):
+    return M.previous_run(history(spark, d)).select(
+        "run_id", "app_id", "mode", "previous_run_id", "previous_status", "previous_fetched", "previous_inserted"
+    )
+
+
+@q("run_change_pct")
+def _(spark, d):
+    return M.run_monitoring(history(spark, d)).select("run_id", "fetched_change_pct", "inserted_change_pct")
+
+
+@q("run_anomalies")
+def _(spark, d):
+    m = M.run_monitoring(history(spark, d))
+    return m.select("run_id", F.array_join("anomalies", ",").alias("anomaly_list"), "material_change_detected")
+
+
+@q("latest_run")
+def _(spark, d):
+    return M.latest_runs(history(spark, d)).select("app_id", "mode", "run_id", "end_time_utc", "status")
+
+
+@q("run_events")
+def _(spark, d):
+    e = M.run_events(history(spark, d))
+    return e.select(
+        "run_id", "seq", "event",
+        F.get_json_object("payload", "$.total_reviews_fetched").cast("bigint").alias("fetched"),
+        F.get_json_object("payload", "$.error_stage").alias("error_stage"),
+    )

@@ -146,3 +146,75 @@ def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_batch_no(raw: DataFrame, batch_rows: int = 500) -> DataFrame:
     """Slice the feed into batches of ``batch_rows`` consecutive arrival numbers."""
     return raw.withColumn("batch_no", F.floor(F.col("arrival_seq") / F.lit(batch_rows)).cast("bigint"))
+
+
+def raw_apps_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later app-metadata pull: every event type except ``view`` (so ``error``
+    is new and ``view`` is untouched), numbered in name order and matched to
+    the ``part`` rows 10 keys further on (changed titles, scores, prices)."""
+    types = (
+        table(spark, sf_dir, "events").select("event_type")
+        .where(F.col("event_type") != F.lit("view")).distinct()
+    )
+    t = types.withColumn("k", (F.row_number().over(Window.orderBy("event_type")) + F.lit(10)).cast("bigint"))
+    p = table(spark, sf_dir, "part")
+    j = t.join(p, p.p_partkey == t.k, "inner")
+    return j.select(
+        F.concat(F.lit("com."), F.col("event_type")).alias("appId"),
+        F.col("p_name").alias("title"),
+        F.col("p_brand").alias("developer"),
+        F.col("p_type").alias("genre"),
+        F.col("p_size").cast("string").alias("score"),
+        (F.col("p_partkey") * 100).cast("string").alias("ratings"),
+        F.lit("Jan 20, 2026").alias("released"),
+        F.lit("2026-01-25T08:00:00Z").alias("lastUpdatedOn"),
+        F.col("p_retailprice").cast("string").alias("price"),
+    )
+
+
+def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One run summary per app and feed day, derived from the review feed.
+
+    mode: ``incremental`` for com.view, else ``standard``.  The day of month
+    scales the counts: x0 when divisible by 7 (an empty, failed run), x1 when
+    divisible by 5 (a material drop), else x20.
+    """
+    from reviewlake.functions.coerce import to_double, to_timestamp_ntz
+
+    r = raw_reviews(spark, sf_dir).select(
+        "app_id", "reviewId",
+        to_timestamp_ntz("at_text").alias("at_ts"),
+        to_double("score").between(1.0, 5.0).alias("ok"),
+    ).where(F.col("at_ts").isNotNull())
+    g = r.groupBy("app_id", F.to_date("at_ts").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("ok")).alias("n_ok"),
+        F.count_distinct(F.when(F.col("ok"), F.col("reviewId"))).alias("n_new"),
+    )
+    dom = F.dayofmonth("day")
+    factor = F.when(dom % 7 == 0, F.lit(0)).when(dom % 5 == 0, F.lit(1)).otherwise(F.lit(20))
+    mode = F.when(F.col("app_id") == F.lit("com.view"), F.lit("incremental")).otherwise(F.lit("standard"))
+    start = F.col("day").cast("timestamp_ntz") + F.expr("INTERVAL 2 HOURS")
+    fetched = (F.col("n") * factor).cast("bigint")
+    cleaned = (F.col("n_ok") * factor).cast("bigint")
+    inserted = (F.col("n_new") * factor).cast("bigint")
+    failed = fetched == 0
+    return g.select(
+        F.concat_ws("-", F.col("app_id"), mode, F.date_format("day", "yyyyMMdd")).alias("run_id"),
+        mode.alias("mode"),
+        F.col("app_id"),
+        F.lit("warehouse/reviews").alias("db_path"),
+        start.alias("start_time_utc"),
+        F.timestamp_add("SECOND", F.col("n"), start).alias("end_time_utc"),
+        F.col("n").cast("double").alias("duration_seconds"),
+        F.when(failed, F.lit("failed")).otherwise(F.lit("success")).alias("status"),
+        F.lit(None).cast("bigint").alias("target_reviews"),
+        F.lit(True).alias("fetch_app_info"),
+        F.when(failed, F.lit(0)).otherwise(F.ceil(F.col("n") / F.lit(100))).cast("bigint").alias("batches_processed"),
+        fetched.alias("total_reviews_fetched"),
+        cleaned.alias("total_reviews_cleaned"),
+        inserted.alias("total_reviews_inserted"),
+        F.greatest(cleaned - inserted, F.lit(0)).cast("bigint").alias("total_duplicates_or_existing"),
+        F.when(failed, F.lit("fetch_reviews")).alias("error_stage"),
+        F.when(failed, F.lit("No reviews fetched")).alias("error_message"),
+    )

@@ -455,3 +455,18 @@ o("run_events", _H + """SELECT run_id, 0 AS seq, 'run_started' AS event, CAST(NU
 FROM history UNION ALL
 SELECT run_id, 1, CASE WHEN status = 'success' THEN 'run_completed' ELSE 'run_failed' END, total_reviews_fetched, error_stage
 FROM history""")
+
+# ---------------------------------------------------------------- files, stores, streaming
+o("csv_roundtrip", ORACLE["clean_reviews"])
+o("csv_roundtrip_apps", ORACLE["apps_mapped"])
+o("landing_json_scan", with_(*BASE) + "SELECT * FROM raw_reviews WHERE CAST(floor(arrival_seq / 500) AS BIGINT) % 2 = 0 "
+  "UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS extra, CAST(NULL AS VARCHAR) AS reviewCreatedVersion) "
+  "FROM raw_reviews WHERE CAST(floor(arrival_seq / 500) AS BIGINT) % 2 = 1")
+o("reviews_table_scan", ORACLE["reviews_all"])
+o("reviews_table_read_pruned", ORACLE["reviews_by_date_range"])
+_FLAT = """SELECT run_id, app_id, mode, status, start_time_utc, total_reviews_fetched, total_reviews_inserted, previous_run_id,
+  fetched_change_pct, array_to_string(anomalies, ',') AS anomaly_list FROM anom"""
+o("run_history_roundtrip", _H + _FLAT)
+o("run_history_scan", _H + _FLAT)
+o("stream_ingest", ORACLE["incremental_ingest"])
+o("stream_batch_metrics", ORACLE["batch_metrics"])

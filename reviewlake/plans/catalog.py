@@ -19,6 +19,10 @@ from reviewlake.operators import profile as P
 from reviewlake.operators import reads as R
 from reviewlake.operators import tables as TB
 from reviewlake.plans import ingest as IG
+from reviewlake.plans import store as ST
+from reviewlake.session import scratch_dir
+from reviewlake.sources import files as FL
+from reviewlake.streaming import ingest as SI
 from reviewlake.sources import feed as FD
 from reviewlake.sources import fixture as FX
 
@@ -582,3 +586,99 @@ def _(spark, d):
         F.get_json_object("payload", "$.total_reviews_fetched").cast("bigint").alias("fetched"),
         F.get_json_object("payload", "$.error_stage").alias("error_stage"),
     )
+
+
+# ---------------------------------------------------------------- files and stores
+@q("csv_roundtrip")
+def _(spark, d):
+    c = clean(spark, d)
+    path = scratch_dir(spark, "csv", "reviews")
+    FL.write_csv(c, path)
+    return FL.read_csv(spark, path, c.schema)
+
+
+@q("csv_roundtrip_apps")
+def _(spark, d):
+    a = apps(spark, d)
+    path = scratch_dir(spark, "csv", "apps")
+    FL.write_csv(a, path)
+    return FL.read_csv(spark, path, a.schema)
+
+
+@q("landing_json_scan")
+def _(spark, d):
+    """Ragged landing batches: odd batches lack two keys; the schema read fills nulls."""
+    b = batched(spark, d)
+    path = scratch_dir(spark, "landing", "json")
+    FL.write_json_lines(b.where(F.col("batch_no") % 2 == 0).drop("batch_no"), path)
+    FL.write_json_lines(b.where(F.col("batch_no") % 2 == 1).drop("batch_no", "extra", "reviewCreatedVersion"), path)
+    return FL.read_landing(spark, path)
+
+
+@q("reviews_table_scan")
+def _(spark, d):
+    path = scratch_dir(spark, "tables", "reviews")
+    ST.write_reviews(reviews(spark, d), path, mode="errorifexists")
+    return ST.read_reviews(spark, path).select(*[c for c in TB.REVIEW_COLUMNS if c != "raw_data"])
+
+
+@q("reviews_table_read_pruned")
+def _(spark, d):
+    """A read method against the stored layout: app partition pruned, time filter pushed."""
+    path = scratch_dir(spark, "tables", "reviews")
+    ST.write_reviews(reviews(spark, d), path, mode="errorifexists")
+    return R.reviews_by_date_range(ST.read_reviews(spark, path), "com.click", "2024-01-10", "2024-01-12 12:00:00")
+
+
+def _monitored_history(spark, d):
+    return M.with_monitoring_struct(M.run_monitoring(history(spark, d)))
+
+
+def _flat_history(h):
+    return h.select(
+        "run_id", "app_id", "mode", "status", "start_time_utc", "total_reviews_fetched", "total_reviews_inserted",
+        F.col("monitoring.previous_run_id").alias("previous_run_id"),
+        F.col("monitoring.fetched_change_pct").alias("fetched_change_pct"),
+        F.array_join("monitoring.anomalies", ",").alias("anomaly_list"),
+    )
+
+
+@q("run_history_roundtrip")
+def _(spark, d):
+    path = scratch_dir(spark, "history")
+    FL.write_json_lines(_monitored_history(spark, d), path)
+    return _flat_history(FL.read_json_lines(spark, path, M.HISTORY_WITH_MONITORING))
+
+
+@q("run_history_scan")
+def _(spark, d):
+    """History with blank and malformed lines appended: they are skipped on read."""
+    path = scratch_dir(spark, "history")
+    h = _monitored_history(spark, d)
+    FL.write_json_lines(h, path)
+    # damaged lines derived from the history itself: a truncated copy of each failed run, and a blank line
+    bad = h.where(F.col("status") == F.lit("failed")).select(
+        F.concat(F.lit('{"run_id": "'), F.col("run_id"), F.lit('", "mode": ')).alias("value"))
+    bad.unionByName(bad.limit(1).select(F.lit("").alias("value"))).write.mode("append").text(path)
+    return _flat_history(FL.read_json_lines(spark, path, M.HISTORY_WITH_MONITORING))
+
+
+# ---------------------------------------------------------------- streaming
+def _stream(spark, d):
+    root = scratch_dir(spark, "stream")
+    landing, table, metrics, ckpt = (f"{root}/{x}" for x in ("landing", "reviews", "metrics", "checkpoint"))
+    SI.write_landing(batched(spark, d), landing)
+    SI.run_ingest(spark, landing, table, metrics, ckpt, AS_OF, RUN_TS, time_col=TIME_COL, max_files_per_trigger=5)
+    return table, metrics
+
+
+@q("stream_ingest")
+def _(spark, d):
+    table, _m = _stream(spark, d)
+    return no_raw(spark.read.parquet(table))
+
+
+@q("stream_batch_metrics")
+def _(spark, d):
+    _t, metrics = _stream(spark, d)
+    return spark.read.parquet(metrics).drop("epoch_id")

@@ -137,18 +137,23 @@ def map_apps(apps: DataFrame, run_ts) -> DataFrame:
 
 # ---------------------------------------------------------------- merges
 def insert_new(existing: DataFrame, incoming: DataFrame, key: str = "review_id",
-               max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+               incoming_rows: int | None = None, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Rows of ``incoming`` whose key is not in ``existing`` (insert-or-ignore).
 
     ``incoming`` must already be unique on ``key`` (the cleaner guarantees it).
-    Small incoming batch: the existing keys are probed map-side against a
-    broadcast of the incoming keys — the large table is scanned (key column
-    only) but never shuffled.  Large incoming: one shuffled anti-join.
+
+    * ``incoming_rows`` known and within ``max_broadcast_rows`` (a micro-batch
+      the caller has persisted and counted): the stored keys are probed
+      map-side against a broadcast of the incoming keys — the large table is
+      scanned (key column only, runtime Bloom filters help) but never shuffled.
+    * otherwise (a backfill of unknown size): one shuffled anti-join on the
+      key; no extra job is spent sizing the incoming side, and AQE splits
+      skewed partitions.
     """
-    keys = incoming.select(key)
-    if fits(keys, max_broadcast_rows):
+    if incoming_rows is not None and incoming_rows <= max_broadcast_rows:
+        keys = incoming.select(key)
         clashes = existing.select(key).join(F.broadcast(keys), key, "left_semi")
-        # clashes is a subset of the incoming keys: bounded by the same check
+        # clashes is a subset of the incoming keys: bounded by the same count
         return incoming.join(F.broadcast(clashes), key, "left_anti")
     return incoming.join(existing.select(key), key, "left_anti")
 
@@ -198,7 +203,8 @@ def orphans_by_fk(reviews: DataFrame, apps: DataFrame, key: str = "app_id",
 
 
 def validate_reviews(incoming: DataFrame, existing: DataFrame, apps: DataFrame,
-                     order_col: str, max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+                     order_col: str, incoming_rows: int | None = None,
+                     max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every incoming row with ``reject_reason`` (null = would be inserted).
 
     Checks in the order a row store applies them: NOT NULL, CHECK 1..5, primary
@@ -207,16 +213,16 @@ def validate_reviews(incoming: DataFrame, existing: DataFrame, apps: DataFrame,
 
     Rows with a null id skip the key joins (no task collects all null ids).
     The first copy per id is a partial ``min`` aggregation joined back; the
-    stored keys are probed against a broadcast of the incoming keys when those
-    fit the bound, else joined by shuffle; ``apps`` is broadcast behind the
-    same check.
+    stored keys are probed against a broadcast of the incoming keys when the
+    caller's ``incoming_rows`` is within the bound, else joined by shuffle;
+    ``apps`` (a small base table) is broadcast behind a bounded row check.
     """
     has_id = F.col("review_id").isNotNull()
     keyed = incoming.where(has_id)
     first = keyed.groupBy("review_id").agg(F.min(order_col).alias("__first"))
     keyed = keyed.join(first, "review_id", "inner")
     ekeys = existing.select("review_id").where(F.col("review_id").isNotNull())
-    if fits(keyed.select("review_id"), max_broadcast_rows):
+    if incoming_rows is not None and incoming_rows <= max_broadcast_rows:
         ekeys = F.broadcast(ekeys.join(F.broadcast(keyed.select("review_id")), "review_id", "left_semi"))
     keyed = keyed.join(ekeys.distinct().withColumn("__exists", F.lit(True)), "review_id", "left")
     keyless = incoming.where(~has_id).withColumn("__first", F.col(order_col)).withColumn("__exists", F.lit(False))

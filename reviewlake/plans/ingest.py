@@ -30,6 +30,17 @@ from reviewlake.operators.clean import clean_reviews
 from reviewlake.operators.tables import first_writer_wins, map_reviews
 
 
+def bound_batches(raw_batched: DataFrame, max_batches: int | None) -> DataFrame:
+    """The run's batch limit: only batches ``0 .. max_batches-1`` (0/None = all).
+
+    Batches are numbered from 0 at the run's resume point, so the bound is a
+    plain (pushed) filter.
+    """
+    if not max_batches:
+        return raw_batched
+    return raw_batched.where(F.col("batch_no") < F.lit(int(max_batches)))
+
+
 def incremental_clean(raw_batched: DataFrame, as_of, time_col: str = "at") -> DataFrame:
     """Per-batch cleaned rows (steps 1-2)."""
     return clean_reviews(raw_batched, as_of, time_col=time_col, batch_col="batch_no")

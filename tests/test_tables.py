@@ -19,8 +19,8 @@ def test_insert_or_ignore_keeps_existing(spark):
     t = dt.datetime(2024, 1, 1)
     existing = _rev(spark, [("a", "x", 5, "old", t, 1)])
     incoming = _rev(spark, [("a", "x", 1, "new", t, 2), ("b", "x", 4, "b", t, 3)])
-    for small in (10, 0):  # broadcast path and shuffle path give the same rows
-        new = TB.insert_new(existing, incoming, max_broadcast_rows=small)
+    for n in (2, None):  # broadcast path and shuffle path give the same rows
+        new = TB.insert_new(existing, incoming, incoming_rows=n)
         assert sorted(r.review_id for r in new.collect()) == ["b"]
 
 
@@ -76,8 +76,8 @@ def test_constraint_reasons(spark):
     ], "review_id string, app_id string, score double, content string, arrival_seq bigint")
     existing = _rev(spark, [("f", "x", 5, "c", t, 0)])
     apps = spark.createDataFrame([("x",)], "app_id string")
-    for small in (100, 0):
-        got = dict(TB.validate_reviews(inc, existing, apps, "arrival_seq", max_broadcast_rows=small)
+    for n, small in ((11, 100), (None, 0)):
+        got = dict(TB.validate_reviews(inc, existing, apps, "arrival_seq", incoming_rows=n, max_broadcast_rows=small)
                    .select("arrival_seq", "reject_reason").collect())
         assert got == {1: "null_review_id", 2: "null_app_id", 3: "null_score", 4: "score_out_of_range",
                        5: "null_content", 6: None, 7: "duplicate_key", 8: "existing_key", 9: "orphan_app",
@@ -101,3 +101,16 @@ def test_mapping_uses_each_rows_app(spark):
     assert sorted((r.review_id, r.app_id) for r in m.collect()) == [("r1", "com.a"), ("r2", "com.b")]
     stamped = TB.map_reviews(c, RUN1, app_id="com.z")
     assert {r.app_id for r in stamped.collect()} == {"com.z"}
+
+
+def test_max_batches_bound(spark):
+    from reviewlake.plans import ingest as IG
+    from reviewlake.sources.fixture import with_batch_no
+
+    rows = [(i, f"r{i % 7}", "u", "4", "c", None) for i in range(30)]
+    df = with_batch_no(spark.createDataFrame(rows, "arrival_seq bigint, reviewId string, userName string, "
+                                                   "score string, content string, at string"), 5)
+    assert IG.bound_batches(df, 2).count() == 10
+    assert IG.bound_batches(df, None).count() == 30 and IG.bound_batches(df, 0).count() == 30
+    ins = IG.incremental_inserted(IG.incremental_clean(IG.bound_batches(df, 1), "2024-02-01 00:00:00"))
+    assert sorted(r.reviewId for r in ins.collect()) == ["r0", "r1", "r2", "r3", "r4"]

@@ -144,3 +144,19 @@ def run_events(history: DataFrame) -> DataFrame:
     )
     e = history.select("run_id", "mode", "app_id", F.explode(F.array(started, ended)).alias("e"))
     return e.select("run_id", "mode", "app_id", "e.seq", "e.event", "e.payload")
+
+
+def batch_events(metrics: DataFrame) -> DataFrame:
+    """Per-batch events of an incremental run: ``batch_processed`` with the
+    counts, or ``batch_clean_empty`` when cleaning left nothing."""
+    empty = F.col("cleaned_count") == 0
+    payload = F.to_json(F.create_map(
+        F.lit("fetched_count"), F.col("fetched_count").cast("string"),
+        F.lit("cleaned_count"), F.col("cleaned_count").cast("string"),
+        F.lit("inserted_count"), F.col("inserted_count").cast("string"),
+    ))
+    return metrics.select(
+        "batch_no",
+        F.when(empty, F.lit("batch_clean_empty")).otherwise(F.lit("batch_processed")).alias("event"),
+        payload.alias("payload"),
+    )

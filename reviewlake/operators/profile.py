@@ -220,14 +220,21 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
-    """count, mean, std, min, quartiles (exact, linear interpolation), max per column."""
+def numeric_summary(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
+    """count, mean, std, min, quartiles, max per column.
+
+    Quartiles are exact with linear interpolation (state: one counter per
+    distinct value, fine for scores and counts); ``approx=True`` uses the
+    mergeable quantile sketch for unbounded continuous columns.
+    """
+    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
+        q = F.percentile_approx(x, probs, 10000) if approx else F.percentile(x, probs)
         aggs += [
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-            F.min(x).alias(f"lo{i}"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}"),
+            F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"),
             F.max(x).alias(f"hi{i}"),
         ]
     a = df.agg(*aggs)

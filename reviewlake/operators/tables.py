@@ -21,6 +21,7 @@ from pyspark.sql.window import Window
 
 from reviewlake.functions.coerce import to_timestamp_ntz
 from reviewlake.operators.clean import ts_literal
+from reviewlake.plans.joins import fits
 
 BROADCAST_ROWS = 2_000_000  # key-only rows (one string each) we allow in a broadcast
 
@@ -62,11 +63,6 @@ REJECT_REASONS = [
 ]
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def _field(df: DataFrame, name: str, typ: str):
     if name not in df.columns:
         return F.lit(None).cast(typ)

@@ -470,3 +470,17 @@ o("run_history_roundtrip", _H + _FLAT)
 o("run_history_scan", _H + _FLAT)
 o("stream_ingest", ORACLE["incremental_ingest"])
 o("stream_batch_metrics", ORACLE["batch_metrics"])
+
+o("batch_events", _METRICS + """SELECT batch_no, CASE WHEN cleaned_count = 0 THEN 'batch_clean_empty' ELSE 'batch_processed' END AS event,
+  inserted_count FROM m""")
+_STD = with_(RAW_REVIEWS, *LOADS, clean_cte("c1", "load1"), clean_cte("c2", "load2"), reviews_cte("r1", "c1"),
+             reviews_cte("r2", "c2", RUN_TS2), RAW_APPS, clean_apps_cte(), apps_cte(),
+             "acc AS (SELECT * FROM r2 WHERE app_id IN (SELECT app_id FROM apps))",
+             "ins AS (SELECT * FROM acc WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.review_id = acc.review_id))")
+o("standard_run", _STD + "SELECT * FROM ins")
+o("standard_run_summary", _STD + """, t AS (SELECT (SELECT count(*) FROM load2) AS f, (SELECT count(*) FROM c2) AS c,
+  (SELECT count(*) FROM r2 WHERE app_id NOT IN (SELECT app_id FROM apps)) AS o, (SELECT count(*) FROM ins) AS i)
+SELECT f AS total_reviews_fetched, c AS total_reviews_cleaned, o AS total_orphans, i AS total_reviews_inserted,
+  CAST(greatest(c - i, 0) AS BIGINT) AS total_duplicates_or_existing,
+  CASE WHEN f = 0 THEN 'failed' ELSE 'success' END AS status,
+  CASE WHEN i > 0 THEN 'success' ELSE 'failed' END AS reference_status FROM t""")

@@ -550,6 +550,33 @@ def _(spark, d):
     return FD.required_field_conformance(batched(spark, d), ["app_id", "batch_no"])
 
 
+@q("batch_events")
+def _(spark, d):
+    e = M.batch_events(_metrics(spark, d))
+    return e.select(
+        "batch_no", "event",
+        F.get_json_object("payload", "$.inserted_count").cast("bigint").alias("inserted_count"),
+    )
+
+
+def _standard(spark, d):
+    first, second = _loads(spark, d)
+    existing = TB.map_reviews(CL.clean_reviews(first, AS_OF, time_col=TIME_COL), RUN_TS)
+    return second, IG.standard_run(second, apps(spark, d), existing, AS_OF, RUN_TS2, time_col=TIME_COL)
+
+
+@q("standard_run")
+def _(spark, d):
+    _raw, run = _standard(spark, d)
+    return no_raw(run["inserted"])
+
+
+@q("standard_run_summary")
+def _(spark, d):
+    raw2, run = _standard(spark, d)
+    return IG.standard_run_summary(raw2, run)
+
+
 # ---------------------------------------------------------------- monitoring
 def history(spark, d):
     return FX.run_history(spark, d)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import monitor as M
 from reviewlake.operators.clean import clean_reviews
-from reviewlake.operators.tables import first_writer_wins, map_reviews
+from reviewlake.operators.tables import accepted_by_fk, first_writer_wins, insert_new, map_reviews, orphans_by_fk
 
 
 def bound_batches(raw_batched: DataFrame, max_batches: int | None) -> DataFrame:
@@ -93,3 +93,42 @@ def run_totals(metrics: DataFrame) -> DataFrame:
         M.run_status(F.coalesce(F.col("total_reviews_fetched"), F.lit(0))).alias("status"),
         M.reference_status(F.coalesce(F.col("total_reviews_inserted"), F.lit(0))).alias("reference_status"),
     )
+
+
+def standard_run(raw: DataFrame, apps: DataFrame, existing: DataFrame, as_of, run_ts,
+                 time_col: str = "at", incoming_rows: int | None = None) -> dict:
+    """One standard run as one plan: clean -> map -> FK split -> insert-or-ignore.
+
+    Returns the frames of the run: ``cleaned``, ``orphans`` (quarantined, app
+    missing) and ``inserted`` (rows to append).  The app keys are broadcast
+    behind the row check; the stored reviews are probed on the review id.
+    """
+    cleaned = clean_reviews(raw, as_of, time_col=time_col)
+    mapped = map_reviews(cleaned, run_ts)
+    accepted = accepted_by_fk(mapped, apps)
+    return {
+        "cleaned": cleaned,
+        "orphans": orphans_by_fk(mapped, apps),
+        "inserted": insert_new(existing, accepted, incoming_rows=incoming_rows),
+    }
+
+
+def standard_run_summary(raw: DataFrame, run: dict) -> DataFrame:
+    """Counters of a standard run (fetched is always counted) and its status."""
+    f = raw.agg(F.count(F.lit(1)).alias("n")).select(F.lit("fetched").alias("k"), "n")
+    c = run["cleaned"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("cleaned").alias("k"), "n")
+    o = run["orphans"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("orphans").alias("k"), "n")
+    i = run["inserted"].agg(F.count(F.lit(1)).alias("n")).select(F.lit("inserted").alias("k"), "n")
+    u = f.unionByName(c).unionByName(o).unionByName(i)
+    # pivot of four one-row aggregates (a four-row frame)
+    w = u.groupBy().pivot("k", ["fetched", "cleaned", "orphans", "inserted"]).agg(F.first("n"))
+    fetched, cleaned, inserted = (F.coalesce(F.col(x), F.lit(0)).cast("bigint") for x in ("fetched", "cleaned", "inserted"))
+    return w.select(
+        fetched.alias("total_reviews_fetched"),
+        cleaned.alias("total_reviews_cleaned"),
+        F.coalesce(F.col("orphans"), F.lit(0)).cast("bigint").alias("total_orphans"),
+        inserted.alias("total_reviews_inserted"),
+        F.greatest(cleaned - inserted, F.lit(0)).cast("bigint").alias("total_duplicates_or_existing"),
+        M.run_status(fetched).alias("status"),
+        M.reference_status(inserted).alias("reference_status"),
+    )

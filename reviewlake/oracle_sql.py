@@ -484,3 +484,29 @@ SELECT f AS total_reviews_fetched, c AS total_reviews_cleaned, o AS total_orphan
   CAST(greatest(c - i, 0) AS BIGINT) AS total_duplicates_or_existing,
   CASE WHEN f = 0 THEN 'failed' ELSE 'success' END AS status,
   CASE WHEN i > 0 THEN 'success' ELSE 'failed' END AS reference_status FROM t""")
+
+_JOB = with_(*REVIEWS, *APPS, """per_app AS (
+  SELECT r.app_id, count(*) AS f FROM raw_reviews r GROUP BY 1),
+c1 AS (SELECT app_id, count(*) AS c FROM reviews GROUP BY 1),
+i1 AS (SELECT app_id, count(*) AS i FROM reviews WHERE app_id IN (SELECT app_id FROM apps) GROUP BY 1),
+runs AS (
+  SELECT 'run-1' AS run_id, p.app_id, p.f, coalesce(c1.c, 0) AS c, coalesce(i1.i, 0) AS i FROM per_app p
+    LEFT JOIN c1 USING (app_id) LEFT JOIN i1 USING (app_id)
+  UNION ALL
+  SELECT 'run-2', p.app_id, p.f, coalesce(c1.c, 0), 0 FROM per_app p LEFT JOIN c1 USING (app_id)),
+mon AS (
+  SELECT *, lag(run_id) OVER w AS prev_id, lag(i) OVER w AS prev_i, lag(f) OVER w AS prev_f FROM runs
+  WINDOW w AS (PARTITION BY app_id ORDER BY run_id))""")
+o("standard_job_replay", _JOB + """SELECT run_id, app_id, CASE WHEN f = 0 THEN 'failed' ELSE 'success' END AS status,
+  CAST(f AS BIGINT) AS total_reviews_fetched, CAST(c AS BIGINT) AS total_reviews_cleaned, CAST(i AS BIGINT) AS total_reviews_inserted,
+  CAST(greatest(c - i, 0) AS BIGINT) AS total_duplicates_or_existing, prev_id AS previous_run_id,
+  CASE WHEN prev_id IS NOT NULL AND prev_i > 0 THEN round(((i - prev_i)::DOUBLE / prev_i::DOUBLE) * 100.0, 2) END AS inserted_change_pct,
+  array_to_string(list_filter([
+    CASE WHEN f = 0 THEN 'run_failed' END,
+    CASE WHEN prev_id IS NOT NULL AND prev_f > 0 AND round(((f - prev_f)::DOUBLE / prev_f::DOUBLE) * 100.0, 2) <= -80 THEN 'material_fetched_drop' END,
+    CASE WHEN prev_id IS NOT NULL AND prev_i > 0 AND round(((i - prev_i)::DOUBLE / prev_i::DOUBLE) * 100.0, 2) <= -80 THEN 'material_inserted_drop' END,
+    CASE WHEN prev_id IS NOT NULL AND i = 0 AND prev_i > 0 THEN 'zero_inserted_after_nonzero_baseline' END,
+    CASE WHEN prev_id IS NOT NULL AND f = 0 AND prev_f > 0 THEN 'zero_fetched_after_nonzero_baseline' END],
+    lambda x: x IS NOT NULL), ',') AS anomaly_list
+FROM mon""")
+o("standard_job_tables", _RA + "SELECT * FROM reviews WHERE app_id IN (SELECT app_id FROM apps)")

@@ -19,6 +19,7 @@ from reviewlake.operators import profile as P
 from reviewlake.operators import reads as R
 from reviewlake.operators import tables as TB
 from reviewlake.plans import ingest as IG
+from reviewlake.plans import jobs as JB
 from reviewlake.plans import store as ST
 from reviewlake.session import scratch_dir
 from reviewlake.sources import files as FL
@@ -690,6 +691,33 @@ def _(spark, d):
     return _flat_history(FL.read_json_lines(spark, path, M.HISTORY_WITH_MONITORING))
 
 
+@q("standard_job_replay")
+def _(spark, d):
+    """Two persisted standard runs of the same feed: the replay inserts nothing,
+    and the history flags it against the first run."""
+    root = scratch_dir(spark, "warehouse")
+    r, a = raw(spark, d), FX.raw_apps(spark, d)
+    JB.standard_job(spark, r, a, root, AS_OF, RUN_TS, "run-1", time_col=TIME_COL)
+    JB.standard_job(spark, r, a, root, AS_OF, RUN_TS2, "run-2", time_col=TIME_COL)
+    h = JB.read_history(spark, root)
+    return h.select(
+        "run_id", "app_id", "status", "total_reviews_fetched", "total_reviews_cleaned", "total_reviews_inserted",
+        "total_duplicates_or_existing", F.col("monitoring.previous_run_id").alias("previous_run_id"),
+        F.col("monitoring.inserted_change_pct").alias("inserted_change_pct"),
+        F.array_join("monitoring.anomalies", ",").alias("anomaly_list"),
+    )
+
+
+@q("standard_job_tables")
+def _(spark, d):
+    """The stored reviews after a run and its replay (equal to one run's insert)."""
+    root = scratch_dir(spark, "warehouse")
+    r, a = raw(spark, d), FX.raw_apps(spark, d)
+    JB.standard_job(spark, r, a, root, AS_OF, RUN_TS, "run-1", time_col=TIME_COL)
+    JB.standard_job(spark, r, a, root, AS_OF, RUN_TS2, "run-2", time_col=TIME_COL)
+    return no_raw(spark.read.parquet(f"{root}/reviews")).select(*[c for c in TB.REVIEW_COLUMNS if c != "raw_data"])
+
+
 # ---------------------------------------------------------------- streaming
 def _stream(spark, d):
     root = scratch_dir(spark, "stream")

@@ -123,18 +123,34 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four apps (one per event type except ``error``), numbers and dates as text."""
+# At most this many apps (distinct event types) are derived; checked, not assumed.
+MAX_APPS = 10_000
+_TYPES_N: dict = {}
+
+
+def _apps_from_types(spark: SparkSession, sf_dir: str, skip_type: str, key_offset: int, last_updated: str) -> DataFrame:
+    """One app per distinct event type (except ``skip_type``), numbered in name
+    order and matched to the ``part`` row ``key_offset + number``.
+
+    The numbering is a window over the distinct types only; their count is
+    checked (and kept per input file list) before the numbered frame is
+    broadcast, and ``part`` is read with a static key range so row groups
+    outside it are skipped — a large ``part`` is never shuffled.
+    """
     types = (
-        table(spark, sf_dir, "events")
-        .select("event_type")
-        .where(F.col("event_type") != F.lit("error"))
-        .distinct()  # a handful of distinct values: partial aggregation collapses them map-side
+        table(spark, sf_dir, "events").select("event_type")
+        .where(F.col("event_type") != F.lit(skip_type)).distinct()
     )
-    # the global row_number runs over the distinct event types only (a few rows)
-    t = types.withColumn("k", F.row_number().over(Window.orderBy("event_type")).cast("bigint"))
-    p = table(spark, sf_dir, "part")
-    j = t.join(p, p.p_partkey == t.k, "inner")
+    key = (tuple(sorted(types.inputFiles())), skip_type)
+    if key not in _TYPES_N:
+        n = types.limit(MAX_APPS + 1).count()
+        if n > MAX_APPS:
+            raise ValueError(f"more than {MAX_APPS} event types: not an app list")
+        _TYPES_N[key] = n
+    n = _TYPES_N[key]
+    t = types.withColumn("k", (F.row_number().over(Window.orderBy("event_type")) + F.lit(key_offset)).cast("bigint"))
+    p = table(spark, sf_dir, "part").where(F.col("p_partkey").between(key_offset + 1, key_offset + max(n, 1)))
+    j = p.join(F.broadcast(t), p.p_partkey == t.k, "inner")
     return j.select(
         F.concat(F.lit("com."), F.col("event_type")).alias("appId"),
         F.col("p_name").alias("title"),
@@ -143,11 +159,16 @@ def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").cast("string").alias("score"),
         (F.col("p_partkey") * 100).cast("string").alias("ratings"),
         F.lit("Jan 20, 2026").alias("released"),
-        F.lit("2026-01-20 10:30:00").alias("lastUpdatedOn"),
+        F.lit(last_updated).alias("lastUpdatedOn"),
         F.col("p_retailprice").cast("string").alias("price"),
     )
 
 
+def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four apps (one per event type except ``error``), numbers and dates as text."""
+    return _apps_from_types(spark, sf_dir, "error", 0, "2026-01-20 10:30:00")
+
+
 def with_batch_no(raw: DataFrame, batch_rows: int = 500) -> DataFrame:
     """Slice the feed into batches of ``batch_rows`` consecutive arrival numbers."""
     return raw.withColumn("batch_no", F.floor(F.col("arrival_seq") / F.lit(batch_rows)).cast("bigint"))
@@ -157,24 +178,7 @@ def raw_apps_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later app-metadata pull: every event type except ``view`` (so ``error``
     is new and ``view`` is untouched), numbered in name order and matched to
     the ``part`` rows 10 keys further on (changed titles, scores, prices)."""
-    types = (
-        table(spark, sf_dir, "events").select("event_type")
-        .where(F.col("event_type") != F.lit("view")).distinct()
-    )
-    t = types.withColumn("k", (F.row_number().over(Window.orderBy("event_type")) + F.lit(10)).cast("bigint"))
-    p = table(spark, sf_dir, "part")
-    j = t.join(p, p.p_partkey == t.k, "inner")
-    return j.select(
-        F.concat(F.lit("com."), F.col("event_type")).alias("appId"),
-        F.col("p_name").alias("title"),
-        F.col("p_brand").alias("developer"),
-        F.col("p_type").alias("genre"),
-        F.col("p_size").cast("string").alias("score"),
-        (F.col("p_partkey") * 100).cast("string").alias("ratings"),
-        F.lit("Jan 20, 2026").alias("released"),
-        F.lit("2026-01-25T08:00:00Z").alias("lastUpdatedOn"),
-        F.col("p_retailprice").cast("string").alias("price"),
-    )
+    return _apps_from_types(spark, sf_dir, "view", 10, "2026-01-25T08:00:00Z")
 
 
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:

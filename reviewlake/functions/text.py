@@ -28,7 +28,6 @@ WHITESPACE = (
 )
 # Java regex (Spark).  (?U) makes \s the Unicode White_Space class.
 WS_CLASS = r"\s\x{1c}-\x{1f}"
-STRIP_RE = rf"(?U)^[{WS_CLASS}]+|[{WS_CLASS}]+$"
 WORD_RE = rf"(?U)[^{WS_CLASS}]+"
 EMOJI_RE = r"[\x{1F600}-\x{1F64F}\x{1F300}-\x{1F5FF}\x{1F680}-\x{1F6FF}\x{1F1E0}-\x{1F1FF}]"
 

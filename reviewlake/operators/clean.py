@@ -57,12 +57,6 @@ def ts_literal(value) -> Column:
     return F.lit(str(value)).try_cast("timestamp_ntz")
 
 
-def _ensure(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Ragged input: add absent columns as null strings."""
-    missing = [c for c in cols if c not in df.columns]
-    return df.select("*", *[F.lit(None).cast("string").alias(c) for c in missing]) if missing else df
-
-
 def _first_copy_window(id_col: str, order_col: str, batch_col: str | None, extra_part: list | None = None):
     parts = ([batch_col] if batch_col else []) + [id_col] + (extra_part or [])
     return Window.partitionBy(*parts).orderBy(F.col(order_col).asc())

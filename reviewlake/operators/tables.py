@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewlake.functions.coerce import to_timestamp_ntz
+from reviewlake.functions.coerce import to_double, to_timestamp_ntz
 from reviewlake.operators.clean import ts_literal
 from reviewlake.plans.joins import fits
 
@@ -213,6 +213,8 @@ def validate_reviews(incoming: DataFrame, existing: DataFrame, apps: DataFrame,
     caller's ``incoming_rows`` is within the bound, else joined by shuffle;
     ``apps`` (a small base table) is broadcast behind a bounded row check.
     """
+    if dict(incoming.dtypes).get("score") == "string":  # untyped rows: gate-cast, never a throwing cast
+        incoming = incoming.withColumn("score", to_double(F.col("score")))
     has_id = F.col("review_id").isNotNull()
     keyed = incoming.where(has_id)
     first = keyed.groupBy("review_id").agg(F.min(order_col).alias("__first"))

@@ -91,14 +91,16 @@ def clean_reviews(
 ) -> DataFrame:
     """Cleaned reviews (see module doc).  ``order_col`` must be in the data:
     Spark rows have no intrinsic order, so "first" is defined by it."""
-    df = raw.where(F.col("reviewId").isNotNull() & F.col("score").isNotNull()).withColumn(
-        "content", F.coalesce(F.col("content"), F.lit(""))
+    # the numeric gate is evaluated once, below the shuffle, and carried as a
+    # column (8 bytes) instead of being re-evaluated by the filter and projection
+    df = raw.where(F.col("reviewId").isNotNull() & F.col("score").isNotNull()).select(
+        *[F.col(c) for c in raw.columns if c != "content"],
+        F.coalesce(F.col("content"), F.lit("")).alias("content"),
+        to_double(F.col("score")).alias("__score_num"),
     )
     w = _first_copy_window("reviewId", order_col, batch_col)
     df = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
-    df = df.withColumn("__score_num", to_double(F.col("score"))).where(
-        F.col("__score_num").between(1.0, 5.0)
-    )
+    df = df.where(F.col("__score_num").between(1.0, 5.0))
     return _finish(df, time_col, as_of)
 
 

@@ -42,16 +42,19 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
     from the session.  Only when it is unset (local tests) is a local default
-    chosen and set.  Every call returns a new sub-folder so runs never clash.
+    chosen and registered with the context.  Every call returns a new
+    sub-folder so runs never clash.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = os.path.join("/tmp", "reviewlake-checkpoints")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        base = sc.getCheckpointDir() or os.path.join("/tmp", "reviewlake-checkpoints")
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # core settings may be read-only at run time; the context keeps it
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), "reviewlake", *parts, uuid.uuid4().hex])
 
 

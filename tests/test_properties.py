@@ -35,3 +35,15 @@ def test_all_valid_batches_equal_one_batch(spark, ids, size):
     b = with_batch_no(df, size)
     many = {r.reviewId: r.arrival_seq for r in IG.incremental_inserted(IG.incremental_clean(b, AS_OF)).collect()}
     assert one == many
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet=st.sampled_from(list("\t\n\x0b\x0c\r\x1c\x1f \x85\xa0   "
+                                                             "    　ab ñ😀中")),
+                              max_size=8), min_size=1, max_size=200))
+def test_strip_and_words_match_python(spark, texts):
+    from reviewlake.functions.text import ustrip, word_count
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    for r in df.select("x", ustrip("x").alias("s"), word_count("x").alias("w")).collect():
+        assert r.s == r.x.strip() and r.w == len(r.x.split())

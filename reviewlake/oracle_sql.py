@@ -510,3 +510,6 @@ o("standard_job_replay", _JOB + """SELECT run_id, app_id, CASE WHEN f = 0 THEN '
     lambda x: x IS NOT NULL), ',') AS anomaly_list
 FROM mon""")
 o("standard_job_tables", _RA + "SELECT * FROM reviews WHERE app_id IN (SELECT app_id FROM apps)")
+
+o("raw_json_variant", with_(*CLEAN) + """SELECT reviewId AS review_id, score AS v_score, arrival_seq AS v_arrival_seq,
+  thumbsUpCount AS v_thumbs, reviewed_at_imputed AS v_imputed FROM clean""")

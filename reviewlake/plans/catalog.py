@@ -309,6 +309,17 @@ def _(spark, d):
     )
 
 
+@q("raw_json_variant")
+def _(spark, d):
+    """The JSON capture parsed once into a VARIANT, fields read with their types."""
+    v = reviews_full(spark, d).select("review_id", F.parse_json("raw_data").alias("v"))
+    g = lambda p, t: F.try_variant_get("v", p, t)
+    return v.select(
+        "review_id", g("$.score", "int").alias("v_score"), g("$.arrival_seq", "bigint").alias("v_arrival_seq"),
+        g("$.thumbsUpCount", "double").alias("v_thumbs"), g("$.reviewed_at_imputed", "boolean").alias("v_imputed"),
+    )
+
+
 @q("raw_json_apps")
 def _(spark, d):
     a = apps_full(spark, d)

@@ -112,18 +112,21 @@ def tag_reviews(
     """Every raw row with ``drop_reason`` (null = kept), in the cleaner's step order.
 
     All rows are kept, so the ``= 1`` pre-limit of ``clean_reviews`` does not
-    apply.  The first copy of each id comes from a partial ``min`` aggregation
-    (a hot id collapses to one counter per task) joined back on the id; rows
-    failing step 1 (null ids among them) bypass the join, so no single task
-    receives every null id.  ``order_col`` is unique per id.
+    apply.  Skew-proof formulation: the first arrival number per id is a
+    partial ``min`` aggregation (a hot id becomes one counter per task), and
+    rows are matched back on (id, arrival number) — unique per row, so the rows
+    of a hot id spread over all tasks instead of meeting in one.  A matched row
+    is the first copy; an unmatched one a duplicate.  Rows failing step 1 (null
+    ids among them) bypass the join.  ``order_col`` is unique per id.
     """
     keys = ([batch_col] if batch_col else []) + ["reviewId"]
     ok = F.col("reviewId").isNotNull() & F.col("score").isNotNull()
     good = raw.where(ok)
-    first = good.groupBy(*keys).agg(F.min(order_col).alias("__first"))
-    good = good.join(first, keys, "inner")
+    first = (good.groupBy(*keys).agg(F.min(order_col).alias(order_col))
+             .withColumn("__first", F.lit(True)))
+    good = good.join(first, keys + [order_col], "left")
     reason = (
-        F.when(F.col(order_col) > F.col("__first"), F.lit(DROP_DUPLICATE))
+        F.when(F.col("__first").isNull(), F.lit(DROP_DUPLICATE))
         .when(~F.coalesce(to_double(F.col("score")).between(1.0, 5.0), F.lit(False)), F.lit(DROP_SCORE))
     )
     good = good.withColumn("drop_reason", reason).drop("__first")

@@ -203,43 +203,48 @@ def validate_reviews(incoming: DataFrame, existing: DataFrame, apps: DataFrame,
                      max_broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Every incoming row with ``reject_reason`` (null = would be inserted).
 
-    Checks in the order a row store applies them: NOT NULL, CHECK 1..5, primary
-    key (earlier incoming copy, then a stored row), foreign key to ``apps``.
-    ``order_col`` (unique) decides which incoming copy of a key comes first.
-
-    Rows with a null id skip the key joins (no task collects all null ids).
-    The first copy per id is a partial ``min`` aggregation joined back; the
-    stored keys are probed against a broadcast of the incoming keys when the
-    caller's ``incoming_rows`` is within the bound, else joined by shuffle;
-    ``apps`` (a small base table) is broadcast behind a bounded row check.
+    A row is rejected for its own defects first, in the order a row store
+    checks them: NOT NULL (id, app, score, content), CHECK 1..5, then the
+    foreign key to ``apps``.  Key conflicts are judged among the rows without
+    defects — as insert-or-ignore skips a defective copy and inserts the next
+    one: the first such copy by ``order_col`` (unique) is inserted unless its
+    id is stored (``existing_key``); later copies are ``duplicate_key``.
+
+    Skew: per id, a partial ``min`` aggregation gives the first clean arrival
+    and a key-level join tells whether the id is stored (probed against a
+    broadcast of the incoming keys when the caller's ``incoming_rows`` is
+    within the bound); rows meet these facts on (id, arrival) — unique per
+    row, so a hot id is spread over all tasks.  ``apps`` is broadcast behind a
+    bounded row check.
     """
     if dict(incoming.dtypes).get("score") == "string":  # untyped rows: gate-cast, never a throwing cast
         incoming = incoming.withColumn("score", to_double(F.col("score")))
-    has_id = F.col("review_id").isNotNull()
-    keyed = incoming.where(has_id)
-    first = keyed.groupBy("review_id").agg(F.min(order_col).alias("__first"))
-    keyed = keyed.join(first, "review_id", "inner")
-    ekeys = existing.select("review_id").where(F.col("review_id").isNotNull())
-    if incoming_rows is not None and incoming_rows <= max_broadcast_rows:
-        ekeys = F.broadcast(ekeys.join(F.broadcast(keyed.select("review_id")), "review_id", "left_semi"))
-    keyed = keyed.join(ekeys.distinct().withColumn("__exists", F.lit(True)), "review_id", "left")
-    keyless = incoming.where(~has_id).withColumn("__first", F.col(order_col)).withColumn("__exists", F.lit(False))
-    inc = keyed.unionByName(keyless)
     akeys = apps.select("app_id").where(F.col("app_id").isNotNull()).distinct().withColumn("__app", F.lit(True))
     if fits(akeys, max_broadcast_rows):
         akeys = F.broadcast(akeys)
-    inc = inc.join(akeys, "app_id", "left")
-    reason = (
+    inc = incoming.join(akeys, "app_id", "left")
+    defect = (
         F.when(F.col("review_id").isNull(), F.lit("null_review_id"))
         .when(F.col("app_id").isNull(), F.lit("null_app_id"))
         .when(F.col("score").isNull(), F.lit("null_score"))
         .when(~F.col("score").between(1, 5), F.lit("score_out_of_range"))
         .when(F.col("content").isNull(), F.lit("null_content"))
-        .when(F.col(order_col) > F.col("__first"), F.lit("duplicate_key"))
-        .when(F.coalesce(F.col("__exists"), F.lit(False)), F.lit("existing_key"))
-        .when(~F.coalesce(F.col("__app"), F.lit(False)), F.lit("orphan_app"))
+        .when(F.col("__app").isNull(), F.lit("orphan_app"))
     )
-    return inc.withColumn("reject_reason", reason).drop("__first", "__exists", "__app")
+    inc = inc.withColumn("reject_reason", defect).drop("__app")
+    clean = inc.where(F.col("reject_reason").isNull())
+    first = clean.groupBy("review_id").agg(F.min(order_col).alias(order_col))
+    ekeys = existing.select("review_id").where(F.col("review_id").isNotNull())
+    if incoming_rows is not None and incoming_rows <= max_broadcast_rows:
+        ekeys = F.broadcast(ekeys.join(F.broadcast(clean.select("review_id")), "review_id", "left_semi"))
+    first = first.join(ekeys.distinct().withColumn("__exists", F.lit(True)), "review_id", "left")
+    first = first.withColumn("__first", F.lit(True))
+    clean = clean.join(first, ["review_id", order_col], "left").withColumn(
+        "reject_reason",
+        F.when(F.col("__first").isNull(), F.lit("duplicate_key"))
+        .when(F.coalesce(F.col("__exists"), F.lit(False)), F.lit("existing_key")),
+    ).drop("__first", "__exists")
+    return clean.unionByName(inc.where(F.col("reject_reason").isNotNull()))
 
 
 def cascade_delete(apps: DataFrame, reviews: DataFrame, app_ids: DataFrame,

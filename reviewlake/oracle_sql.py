@@ -362,14 +362,16 @@ FROM old o FULL OUTER JOIN new n ON o.app_id = n.app_id""")
 o("accepted_reviews", _RA + "SELECT * FROM reviews r WHERE EXISTS (SELECT 1 FROM apps a WHERE a.app_id = r.app_id)")
 o("orphan_reviews", _RA + "SELECT * FROM reviews r WHERE NOT EXISTS (SELECT 1 FROM apps a WHERE a.app_id = r.app_id)")
 o("constraint_rejects", with_(RAW_REVIEWS, *LOADS, clean_cte("c1", "load1"), reviews_cte("r1", "c1"), *APPS, f"""inc AS (
-  SELECT arrival_seq, reviewId AS review_id, app_id, {num('score')} AS score, content FROM raw_reviews)""", """inc2 AS (
+  SELECT arrival_seq, reviewId AS review_id, app_id, {num('score')} AS score, content FROM raw_reviews)""", """d AS (
+  SELECT *, CASE WHEN review_id IS NULL THEN 'null_review_id' WHEN app_id IS NULL THEN 'null_app_id'
+    WHEN score IS NULL THEN 'null_score' WHEN NOT (score BETWEEN 1 AND 5) THEN 'score_out_of_range'
+    WHEN content IS NULL THEN 'null_content'
+    WHEN NOT EXISTS (SELECT 1 FROM apps a WHERE a.app_id = inc.app_id) THEN 'orphan_app' END AS defect FROM inc)""",
+  """k AS (
   SELECT *, row_number() OVER (PARTITION BY review_id ORDER BY arrival_seq) AS rn,
-    EXISTS (SELECT 1 FROM r1 WHERE r1.review_id = inc.review_id) AS ex,
-    EXISTS (SELECT 1 FROM apps a WHERE a.app_id = inc.app_id) AS ap FROM inc)""") + """
-SELECT arrival_seq, review_id, app_id, CASE WHEN review_id IS NULL THEN 'null_review_id' WHEN app_id IS NULL THEN 'null_app_id'
-  WHEN score IS NULL THEN 'null_score' WHEN NOT (score BETWEEN 1 AND 5) THEN 'score_out_of_range'
-  WHEN content IS NULL THEN 'null_content' WHEN rn > 1 THEN 'duplicate_key' WHEN ex THEN 'existing_key'
-  WHEN NOT ap THEN 'orphan_app' END AS reject_reason FROM inc2""")
+    EXISTS (SELECT 1 FROM r1 WHERE r1.review_id = d.review_id) AS ex FROM d WHERE defect IS NULL)""") + """
+SELECT arrival_seq, review_id, app_id, CASE WHEN rn > 1 THEN 'duplicate_key' WHEN ex THEN 'existing_key' END AS reject_reason FROM k
+UNION ALL SELECT arrival_seq, review_id, app_id, defect FROM d WHERE defect IS NOT NULL""")
 o("cascade_delete_apps", with_(*APPS) + "SELECT * FROM apps WHERE app_id NOT IN (SELECT app_id FROM apps WHERE score < 25)")
 o("cascade_delete_reviews", _RA + """SELECT review_id, app_id, score FROM reviews
 WHERE app_id NOT IN (SELECT app_id FROM apps WHERE score < 25)""")

@@ -73,15 +73,18 @@ def test_constraint_reasons(spark):
         (None, "x", 5.0, "c", 1), ("a", None, 5.0, "c", 2), ("b", "x", None, "c", 3), ("c", "x", 0.6, "c", 4),
         ("d", "x", 5.0, None, 5), ("e", "x", 5.0, "c", 6), ("e", "x", 4.0, "c", 7), ("f", "x", 5.0, "c", 8),
         ("g", "zz", 5.0, "c", 9), ("h", "x", 3.0, "c", 10), (None, "x", 5.0, "c", 11),
+        ("i", "x", 9.0, "c", 12), ("i", "x", 2.0, "c", 13),   # defective first copy: the next one goes in
+        ("j", "zz", 2.0, "c", 14), ("j", "x", 2.0, "c", 15),  # orphan first copy, then a valid one
     ], "review_id string, app_id string, score double, content string, arrival_seq bigint")
     existing = _rev(spark, [("f", "x", 5, "c", t, 0)])
     apps = spark.createDataFrame([("x",)], "app_id string")
-    for n, small in ((11, 100), (None, 0)):
+    for n, small in ((15, 100), (None, 0)):
         got = dict(TB.validate_reviews(inc, existing, apps, "arrival_seq", incoming_rows=n, max_broadcast_rows=small)
                    .select("arrival_seq", "reject_reason").collect())
         assert got == {1: "null_review_id", 2: "null_app_id", 3: "null_score", 4: "score_out_of_range",
                        5: "null_content", 6: None, 7: "duplicate_key", 8: "existing_key", 9: "orphan_app",
-                       10: None, 11: "null_review_id"}
+                       10: None, 11: "null_review_id", 12: "score_out_of_range", 13: None,
+                       14: "orphan_app", 15: None}
 
 
 def test_cascade_delete(spark):

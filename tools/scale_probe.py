@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from reviewlake.operators import clean as CL  # noqa: E402
 from reviewlake.operators import tables as TB  # noqa: E402
 from reviewlake.plans import ingest as IG  # noqa: E402
-from reviewlake.session import local_session  # noqa: E402
+from reviewlake.session import ENGINE_CONF  # noqa: E402
 from reviewlake.sources import fixture as FX  # noqa: E402
 
 AS_OF, RUN_TS = "2024-02-01 00:00:00", "2024-02-01 06:00:00"
@@ -41,14 +41,30 @@ def build(spark, factor: int, path: str) -> None:
             F.concat(F.col("reviewId"), F.lit("-"), F.col("copy").cast("string"))).alias("reviewId"),
         *[c for c in base.columns if c not in ("arrival_seq", "app_id", "reviewId")],
     )
-    out.write.mode("errorifexists").parquet(path)
+    # many files, as a landing area has: the scan is split across tasks
+    out.repartition(64).write.mode("errorifexists").parquet(path)
 
 
 def main() -> None:
     factor = int(sys.argv[1]) if len(sys.argv) > 1 else 50
     parent = sys.argv[2] if len(sys.argv) > 2 else "/tmp"
-    path = os.path.join(parent, f"reviewlake-scale-{factor}")
-    spark = local_session(cores=8, shuffle_partitions=64, app="reviewlake-scale")
+    path = os.path.join(parent, f"reviewlake-scale-{factor}-files64")
+    import glob
+    import statistics
+    import tempfile
+
+    from pyspark.sql import SparkSession
+
+    log_dir = tempfile.mkdtemp(prefix="run-", dir=parent)
+    b = (SparkSession.builder.master("local[8]").appName("reviewlake-scale")
+         .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "64")
+         .config("spark.driver.memory", "16g").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", log_dir)
+         .config("spark.eventLog.compress", "false"))
+    for k, v in ENGINE_CONF.items():
+        b = b.config(k, v)
+    spark = b.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThreshold", "64MB")
     if not os.path.exists(path):
         t0 = time.perf_counter()
@@ -73,12 +89,43 @@ def main() -> None:
     }
     times = {}
     for name, df in jobs.items():
+        spark.sparkContext.setJobGroup(name, name)
         t0 = time.perf_counter()
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 2)
         print(f"{name}: {times[name]}s", file=sys.stderr)
+    spark.stop()
+    # task skew per operator from the event log: the largest task vs the median
+    stage_job, tasks = {}, {}
+    for f in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(f) or "appstatus" in os.path.basename(f):
+            continue
+        with open(f) as fh:
+            for line in fh:
+                e = json.loads(line)
+                if e["Event"] == "SparkListenerJobStart":
+                    grp = (e.get("Properties") or {}).get("spark.jobGroup.id")
+                    for sid in e.get("Stage IDs", []):
+                        stage_job[sid] = grp
+                elif e["Event"] == "SparkListenerTaskEnd":
+                    ti, tm = e["Task Info"], e.get("Task Metrics") or {}
+                    rec = (tm.get("Shuffle Read Metrics") or {}).get("Total Records Read", 0)
+                    tasks.setdefault(e["Stage ID"], []).append((ti["Finish Time"] - ti["Launch Time"], rec))
+    skew = {}
+    for sid, ts in tasks.items():
+        grp = stage_job.get(sid)
+        if grp not in jobs or len(ts) < 4:
+            continue
+        d = sorted(x[0] for x in ts)
+        r = sorted(x[1] for x in ts)
+        worst = skew.setdefault(grp, {"max_task_ms": 0, "median_task_ms": 0, "max_shuffle_records": 0,
+                                      "median_shuffle_records": 0})
+        if d[-1] > worst["max_task_ms"]:
+            worst.update(max_task_ms=d[-1], median_task_ms=int(statistics.median(d)),
+                         max_shuffle_records=r[-1], median_shuffle_records=int(statistics.median(r)))
     print(json.dumps({"rows": rows, "factor": factor, "seconds": times,
-                      "clean_rows_per_sec": round(rows / times["clean_reviews"])}))
+                      "clean_rows_per_sec": round(rows / times["clean_reviews"]),
+                      "slowest_stage_per_operator": skew, "event_log": log_dir}))
 
 
 if __name__ == "__main__":

@@ -148,15 +148,19 @@ def run_events(history: DataFrame) -> DataFrame:
 
 def batch_events(metrics: DataFrame) -> DataFrame:
     """Per-batch events of an incremental run: ``batch_processed`` with the
-    counts, or ``batch_clean_empty`` when cleaning left nothing."""
+    counts, or ``batch_clean_empty`` when cleaning left nothing; plus the
+    compatibility warning ``batch_insert_failed`` when rows survived cleaning
+    but none was inserted (the source's success rule is "inserted > 0")."""
     empty = F.col("cleaned_count") == 0
     payload = F.to_json(F.create_map(
         F.lit("fetched_count"), F.col("fetched_count").cast("string"),
         F.lit("cleaned_count"), F.col("cleaned_count").cast("string"),
         F.lit("inserted_count"), F.col("inserted_count").cast("string"),
     ))
-    return metrics.select(
-        "batch_no",
-        F.when(empty, F.lit("batch_clean_empty")).otherwise(F.lit("batch_processed")).alias("event"),
-        payload.alias("payload"),
+    events = F.array(
+        F.when(empty, F.lit("batch_clean_empty")).otherwise(F.lit("batch_processed")),
+        F.when(~empty & (F.col("inserted_count") == 0), F.lit("batch_insert_failed")),
     )
+    e = metrics.select("batch_no", F.explode(F.filter(events, lambda x: x.isNotNull())).alias("event"),
+                       payload.alias("payload"))
+    return e

@@ -474,7 +474,8 @@ o("stream_ingest", ORACLE["incremental_ingest"])
 o("stream_batch_metrics", ORACLE["batch_metrics"])
 
 o("batch_events", _METRICS + """SELECT batch_no, CASE WHEN cleaned_count = 0 THEN 'batch_clean_empty' ELSE 'batch_processed' END AS event,
-  inserted_count FROM m""")
+  inserted_count FROM m
+UNION ALL SELECT batch_no, 'batch_insert_failed', inserted_count FROM m WHERE cleaned_count > 0 AND inserted_count = 0""")
 _STD = with_(RAW_REVIEWS, *LOADS, clean_cte("c1", "load1"), clean_cte("c2", "load2"), reviews_cte("r1", "c1"),
              reviews_cte("r2", "c2", RUN_TS2), RAW_APPS, clean_apps_cte(), apps_cte(),
              "acc AS (SELECT * FROM r2 WHERE app_id IN (SELECT app_id FROM apps))",

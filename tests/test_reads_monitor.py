@@ -91,3 +91,10 @@ def test_history_skips_blank_and_malformed_lines(spark, scratch):
                           "value string").coalesce(1).write.text(path)
     rows = FL.read_json_lines(spark, path, M.HISTORY_SCHEMA).collect()
     assert sorted(r.run_id for r in rows) == ["r1", "r2"]
+
+
+def test_batch_events(spark):
+    m = spark.createDataFrame([(0, 10, 8, 8), (1, 10, 0, 0), (2, 10, 5, 0)],
+                              "batch_no long, fetched_count long, cleaned_count long, inserted_count long")
+    got = sorted((r.batch_no, r.event) for r in M.batch_events(m).collect())
+    assert got == [(0, "batch_processed"), (1, "batch_clean_empty"), (2, "batch_insert_failed"), (2, "batch_processed")]

@@ -87,6 +87,16 @@ def main() -> None:
             order_col="arrival_seq"),
         "rating_by_app": clean.groupBy("app_id", "score").count(),
     }
+    # a small batch (1 % of the feed) arriving into the large table: the
+    # broadcast key probe (size known) against the shuffled anti-join
+    table_dir = tempfile.mkdtemp(prefix="run-", dir=parent)
+    TB.map_reviews(clean, RUN_TS).select("review_id").write.mode("overwrite").parquet(f"{table_dir}/table")
+    stored = spark.read.parquet(f"{table_dir}/table")
+    small = TB.map_reviews(CL.clean_reviews(raw.where(F.col("arrival_seq") % 100 == 7), AS_OF, time_col="at_text"),
+                           RUN_TS).select("review_id", "app_id", "score").persist()
+    n_small = small.count()
+    jobs["small_batch_insert_broadcast_probe"] = TB.insert_new(stored, small, incoming_rows=n_small)
+    jobs["small_batch_insert_shuffle"] = TB.insert_new(stored, small)
     times = {}
     for name, df in jobs.items():
         spark.sparkContext.setJobGroup(name, name)

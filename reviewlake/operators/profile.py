@@ -281,3 +281,22 @@ def empty_content(df: DataFrame, content: str = "content") -> DataFrame:
     blank = T.ustrip(F.coalesce(F.col(content), F.lit(""))) == F.lit("")
     a = df.agg(F.count_if(blank).alias("empty_content"), F.count(F.lit(1)).alias("total"))
     return a.select("empty_content", "total", _pct(F.col("empty_content"), F.col("total")).alias("pct"))
+
+
+# ---------------------------------------------------------------- statistics bundle
+def table_statistics(reviews: DataFrame, apps: DataFrame) -> DataFrame:
+    """App count, review count, reviews per app and per score — as (section, item, value).
+
+    The three review figures come from one pass: ``cube(app_id, score)`` with
+    ``grouping_id`` (0 = both keys, 1 = per app, 2 = per score, 3 = total);
+    the pair level is dropped.  The app count is one more (small) scan.
+    """
+    c = reviews.cube("app_id", "score").agg(F.count(F.lit(1)).alias("value"), F.grouping_id().alias("gid"))
+    section = (F.when(F.col("gid") == 1, F.lit("app")).when(F.col("gid") == 2, F.lit("score"))
+               .otherwise(F.lit("table")))
+    item = (F.when(F.col("gid") == 1, F.col("app_id")).when(F.col("gid") == 2, F.col("score").cast("string"))
+            .otherwise(F.lit("reviews")))
+    r = c.where(F.col("gid") > 0).select(section.alias("section"), item.alias("item"), "value")
+    a = apps.agg(F.count(F.lit(1)).alias("value")).select(
+        F.lit("table").alias("section"), F.lit("apps").alias("item"), "value")
+    return a.unionByName(r)

@@ -427,14 +427,7 @@ def _(spark, d):
 
 @q("statistics")
 def _(spark, d):
-    r, a = reviews(spark, d), apps(spark, d)
-    cnt = F.count(F.lit(1)).alias("value")
-    return (
-        a.agg(cnt).select(F.lit("table").alias("section"), F.lit("apps").alias("item"), "value")
-        .unionByName(r.agg(cnt).select(F.lit("table").alias("section"), F.lit("reviews").alias("item"), "value"))
-        .unionByName(r.groupBy("app_id").agg(cnt).select(F.lit("app").alias("section"), F.col("app_id").alias("item"), "value"))
-        .unionByName(r.groupBy("score").agg(cnt).select(F.lit("score").alias("section"), F.col("score").cast("string").alias("item"), "value"))
-    )
+    return P.table_statistics(reviews(spark, d), apps(spark, d))
 
 
 # ---------------------------------------------------------------- merges

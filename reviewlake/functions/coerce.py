@@ -54,12 +54,14 @@ def to_timestamp_ntz(c) -> Column:
     text and everything goes through ``try_cast``.
     """
     c = _col(c).cast("string")
-    iso = F.when(c.rlike(ISO_TS_RE), F.regexp_replace(c, "Z$", "").try_cast("timestamp_ntz"))
+    # the trailing-Z rewrite (a second regex) runs only for values that end in Z
+    no_z = F.when(c.endswith("Z"), F.regexp_replace(c, "Z$", "")).otherwise(c)
+    iso = F.when(c.rlike(ISO_TS_RE), no_z.try_cast("timestamp_ntz"))
     mdy = F.regexp_extract(c, MONTH_DAY_YEAR_RE, 0)
-    rebuilt = F.concat_ws(
-        "-",
-        F.regexp_extract(c, MONTH_DAY_YEAR_RE, 3),
-        F.lpad(_month_number(F.regexp_extract(c, MONTH_DAY_YEAR_RE, 1)).cast("string"), 2, "0"),
+    # an unknown month name gives null (concat propagates it)
+    rebuilt = F.concat(
+        F.regexp_extract(c, MONTH_DAY_YEAR_RE, 3), F.lit("-"),
+        F.lpad(_month_number(F.regexp_extract(c, MONTH_DAY_YEAR_RE, 1)).cast("string"), 2, "0"), F.lit("-"),
         F.lpad(F.regexp_extract(c, MONTH_DAY_YEAR_RE, 2), 2, "0"),
     )
     named = F.when(mdy != F.lit(""), rebuilt.try_cast("timestamp_ntz"))

@@ -448,6 +448,21 @@ def _(spark, d):
     return no_raw(TB.insert_new(existing, incoming))
 
 
+@q("insert_new_reviews_bucketed")
+def _(spark, d):
+    """Insert-or-ignore against a stored table bucketed by review id: the stored
+    side is read in place, only the incoming rows are shuffled into its buckets."""
+    import uuid
+
+    first, second = _loads(spark, d)
+    existing = TB.map_reviews(CL.clean_reviews(first, AS_OF, time_col=TIME_COL), RUN_TS)
+    incoming = TB.map_reviews(CL.clean_reviews(second, AS_OF, time_col=TIME_COL), RUN_TS2)
+    name = "reviews_" + uuid.uuid4().hex[:16]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ST.save_bucketed(existing, name, scratch_dir(spark, "tables", name), buckets)
+    return no_raw(TB.insert_new(spark.table(name), incoming))
+
+
 @q("upsert_apps")
 def _(spark, d):
     old = apps_full(spark, d)

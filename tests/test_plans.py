@@ -54,3 +54,15 @@ def test_no_cartesian_products(spark):
             continue
         p = _optimized(fn(spark, SF))
         assert "Join Cross" not in p and "CartesianProduct" not in p, name
+
+
+def test_bucketed_store_is_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = _plan(Q["insert_new_reviews_bucketed"](spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    scan = [line for line in p.splitlines() if "FileScan parquet spark_catalog" in line]
+    assert scan and "Bucketed: true" in scan[0]

@@ -98,3 +98,12 @@ def test_batch_events(spark):
                               "batch_no long, fetched_count long, cleaned_count long, inserted_count long")
     got = sorted((r.batch_no, r.event) for r in M.batch_events(m).collect())
     assert got == [(0, "batch_processed"), (1, "batch_clean_empty"), (2, "batch_insert_failed"), (2, "batch_processed")]
+
+
+def test_csv_roundtrip_tricky_text(spark, scratch):
+    rows = [(1, 'line one\nline two', 'say "hi", ok'), (2, "", None), (3, "ñandú 😀 中文", ",,,"), (4, None, "\\N?")]
+    df = spark.createDataFrame(rows, "id bigint, a string, b string")
+    path = scratch("csv")
+    FL.write_csv(df, path)
+    back = {r.id: (r.a, r.b) for r in FL.read_csv(spark, path, df.schema).collect()}
+    assert back == {r[0]: (r[1], r[2]) for r in rows}

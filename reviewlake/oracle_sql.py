@@ -318,7 +318,10 @@ o("app_lookup", with_(*APPS) + "SELECT * FROM apps WHERE app_id = 'com.view'")
 o("review_count_by_app", _RV + "SELECT count(*) AS review_count FROM reviews WHERE app_id = 'com.view'")
 o("preview", with_(*CLEAN) + "SELECT reviewId, userName, score, reviewed_at, content FROM clean ORDER BY arrival_seq LIMIT 3")
 o("sample_reviews", with_(*CLEAN) + f"""SELECT reviewId, content, {script('content')} AS script FROM clean
-ORDER BY md5(reviewId), reviewId LIMIT 500""")
+ORDER BY md5(reviewId), reviewId LIMIT 5000""")
+o("language_mix_sample", with_(*CLEAN, "s AS (SELECT * FROM clean ORDER BY md5(reviewId), reviewId LIMIT 5000)") + f"""
+SELECT script, review_count, {pct('review_count', 'sum(review_count) OVER ()')} AS pct
+FROM (SELECT {script('content')} AS script, count(*) AS review_count FROM s GROUP BY 1)""")
 o("feed_order_rating", _RV + """SELECT * FROM reviews
 ORDER BY score DESC NULLS LAST, reviewed_at DESC NULLS LAST, review_id LIMIT 200""")
 o("feed_order_relevant", _RV + """SELECT * FROM reviews

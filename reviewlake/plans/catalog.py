@@ -391,10 +391,24 @@ def _(spark, d):
     return c.select("reviewId", "userName", "score", "reviewed_at", "content")
 
 
+SAMPLE_ROWS = 5000  # the source's language-analysis sample size (min(5000, n))
+
+
+def _sample(spark, d):
+    """Repeatable sample: the rows with the smallest md5 of the (unique) review id."""
+    return clean(spark, d).orderBy(F.md5(F.col("reviewId")), "reviewId").limit(SAMPLE_ROWS)
+
+
 @q("sample_reviews")
 def _(spark, d):
-    c = clean(spark, d).orderBy(F.md5(F.col("reviewId")), "reviewId").limit(500)
-    return c.select("reviewId", "content", T.script_class("content").alias("script"))
+    return _sample(spark, d).select("reviewId", "content", T.script_class("content").alias("script"))
+
+
+@q("language_mix_sample")
+def _(spark, d):
+    """Compatibility: the script mix on the repeatable 5,000-row sample (the
+    default ``language_mix`` uses every review)."""
+    return P.language_mix(_sample(spark, d))
 
 
 @q("feed_order_rating")

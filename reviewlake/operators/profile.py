@@ -220,18 +220,37 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_summary(df: DataFrame, cols: list[str], approx: bool = False) -> DataFrame:
+def numeric_summary(df: DataFrame, cols: list[str], method: str = "exact") -> DataFrame:
     """count, mean, std, min, quartiles, max per column.
 
-    Quartiles are exact with linear interpolation (state: one counter per
-    distinct value, fine for scores and counts); ``approx=True`` uses the
-    mergeable quantile sketch for unbounded continuous columns.
+    Quartiles are exact with linear interpolation:
+      * ``exact``: Spark's ``percentile`` — state is one counter per distinct
+        value, merged in one task (fine for scores, counts, word counts);
+      * ``distributed``: ``operators.quantiles.exact_quantiles`` — same values,
+        bounded state per task, for continuous columns at any size;
+      * ``approx``: the mergeable quantile sketch (``percentile_approx``).
     """
+    if method == "distributed":
+        from reviewlake.operators.quantiles import exact_quantiles
+
+        parts = []
+        for c in cols:
+            x = F.col(c).cast("double")
+            m = df.agg(F.count(x).alias("count"), _r(F.avg(x)).alias("mean"), _r(F.stddev_samp(x)).alias("std"),
+                       _r(F.min(x)).alias("min"), _r(F.max(x)).alias("max")).withColumn("column_name", F.lit(c))
+            q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
+                F.lit(c).alias("column_name"), _r(F.col("q0")).alias("p25"), _r(F.col("q1")).alias("p50"),
+                _r(F.col("q2")).alias("p75"))
+            parts.append(m.join(q, "column_name"))  # one row each, joined on the column name
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile_approx(x, probs, 10000) if approx else F.percentile(x, probs)
+        q = F.percentile_approx(x, probs, 10000) if method == "approx" else F.percentile(x, probs)
         aggs += [
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
             F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"),

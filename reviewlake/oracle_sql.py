@@ -520,3 +520,4 @@ o("standard_job_tables", _RA + "SELECT * FROM reviews WHERE app_id IN (SELECT ap
 o("raw_json_variant", with_(*CLEAN) + """SELECT reviewId AS review_id, score AS v_score, arrival_seq AS v_arrival_seq,
   thumbsUpCount AS v_thumbs, reviewed_at_imputed AS v_imputed FROM clean""")
 o("insert_new_reviews_bucketed", ORACLE["insert_new_reviews"])
+o("numeric_summary_distributed", ORACLE["numeric_summary"])

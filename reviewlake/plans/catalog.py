@@ -267,6 +267,12 @@ def _(spark, d):
     return P.numeric_summary(typed(spark, d), ["score_num", "thumbs_num"])
 
 
+@q("numeric_summary_distributed")
+def _(spark, d):
+    """The same summary with the distributed exact quantiles (bounded state per task)."""
+    return P.numeric_summary(typed(spark, d), ["score_num", "thumbs_num"], method="distributed")
+
+
 @q("field_completeness")
 def _(spark, d):
     return P.field_completeness(raw(spark, d))

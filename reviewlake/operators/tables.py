@@ -219,7 +219,10 @@ def validate_reviews(incoming: DataFrame, existing: DataFrame, apps: DataFrame,
     """
     if dict(incoming.dtypes).get("score") == "string":  # untyped rows: gate-cast, never a throwing cast
         incoming = incoming.withColumn("score", to_double(F.col("score")))
-    akeys = apps.select("app_id").where(F.col("app_id").isNotNull()).distinct().withColumn("__app", F.lit(True))
+    # app_id is the apps table's primary key: no distinct needed, and without an
+    # aggregate on this side a shuffled fallback join stays eligible for AQE's
+    # skew-partition splitting (a hot app)
+    akeys = apps.select("app_id").where(F.col("app_id").isNotNull()).withColumn("__app", F.lit(True))
     if fits(akeys, max_broadcast_rows):
         akeys = F.broadcast(akeys)
     inc = incoming.join(akeys, "app_id", "left")

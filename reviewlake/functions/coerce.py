@@ -66,3 +66,22 @@ def to_timestamp_ntz(c) -> Column:
     )
     named = F.when(mdy != F.lit(""), rebuilt.try_cast("timestamp_ntz"))
     return F.coalesce(iso, named)
+
+
+# ISO date-time with an optional UTC offset (``Z``, ``+00:00``, ``-0530``)
+ISO_OFFSET_RE = r"^(\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)(Z|([+-])(\d{2}):?(\d{2}))?$"
+
+
+def iso_to_utc_ntz(c) -> Column:
+    """ISO text with an optional UTC offset -> UTC wall clock as ``timestamp_ntz``.
+
+    The local part is cast, then the offset is subtracted — no session time
+    zone is involved.  Text without an offset is taken as UTC already.
+    """
+    c = _col(c).cast("string")
+    local = F.regexp_extract(c, ISO_OFFSET_RE, 1).try_cast("timestamp_ntz")
+    sign = F.when(F.regexp_extract(c, ISO_OFFSET_RE, 5) == F.lit("-"), F.lit(-1)).otherwise(F.lit(1))
+    hh = F.regexp_extract(c, ISO_OFFSET_RE, 6)
+    mm = F.regexp_extract(c, ISO_OFFSET_RE, 7)
+    minutes = F.when(hh == F.lit(""), F.lit(0)).otherwise(sign * (hh.cast("int") * 60 + mm.cast("int")))
+    return F.when(c.rlike(ISO_OFFSET_RE), F.timestamp_add("MINUTE", -minutes, local))

@@ -714,7 +714,7 @@ def _flat_history(h):
 def _(spark, d):
     path = scratch_dir(spark, "history")
     FL.write_json_lines(_monitored_history(spark, d), path)
-    return _flat_history(FL.read_json_lines(spark, path, M.HISTORY_WITH_MONITORING))
+    return _flat_history(FL.read_run_history(spark, path, M.HISTORY_WITH_MONITORING))
 
 
 @q("run_history_scan")
@@ -727,7 +727,7 @@ def _(spark, d):
     bad = h.where(F.col("status") == F.lit("failed")).select(
         F.concat(F.lit('{"run_id": "'), F.col("run_id"), F.lit('", "mode": ')).alias("value"))
     bad.unionByName(bad.limit(1).select(F.lit("").alias("value"))).write.mode("append").text(path)
-    return _flat_history(FL.read_json_lines(spark, path, M.HISTORY_WITH_MONITORING))
+    return _flat_history(FL.read_run_history(spark, path, M.HISTORY_WITH_MONITORING))
 
 
 @q("standard_job_replay")

@@ -107,3 +107,22 @@ def test_csv_roundtrip_tricky_text(spark, scratch):
     FL.write_csv(df, path)
     back = {r.id: (r.a, r.b) for r in FL.read_csv(spark, path, df.schema).collect()}
     assert back == {r[0]: (r[1], r[2]) for r in rows}
+
+
+def test_history_lines_in_the_source_format(spark, scratch):
+    path = scratch("history")
+    lines = [
+        '{"run_id": "a", "mode": "standard", "app_id": "x", "status": "success", '
+        '"start_time_utc": "2026-01-20T10:30:00.123456+00:00", "end_time_utc": "2026-01-20T10:31:00+00:00", '
+        '"total_reviews_fetched": 5, "monitoring": {"previous_run_id": null, "anomalies": []}}',
+        '{"run_id": "b", "mode": "standard", "app_id": "x", "status": "failed", '
+        '"start_time_utc": "2026-01-20T12:00:00.000000", "end_time_utc": "2026-01-20T14:30:00-02:30"}',
+        "", "not json",
+    ]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    rows = {r.run_id: r for r in FL.read_run_history(spark, path, M.HISTORY_WITH_MONITORING).collect()}
+    assert set(rows) == {"a", "b"}
+    assert rows["a"].start_time_utc == dt.datetime(2026, 1, 20, 10, 30, 0, 123456)
+    assert rows["a"].end_time_utc == dt.datetime(2026, 1, 20, 10, 31)
+    assert rows["b"].end_time_utc == dt.datetime(2026, 1, 20, 17, 0)  # -02:30 -> UTC
+    assert rows["a"].monitoring.anomalies == []

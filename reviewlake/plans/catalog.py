@@ -679,7 +679,7 @@ def _(spark, d):
     path = scratch_dir(spark, "landing", "json")
     FL.write_json_lines(b.where(F.col("batch_no") % 2 == 0).drop("batch_no"), path)
     FL.write_json_lines(b.where(F.col("batch_no") % 2 == 1).drop("batch_no", "extra", "reviewCreatedVersion"), path)
-    return FL.read_landing(spark, path)
+    return FL.read_landing(spark, path, FL.RAW_REVIEW_SCHEMA)
 
 
 @q("reviews_table_scan")

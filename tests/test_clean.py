@@ -129,3 +129,32 @@ def test_clean_apps_coercion(spark):
     r = clean_apps(df).first()
     assert r.score == 4.5 and r.ratings == 10000.0 and r.price is None
     assert r.released == dt.datetime(2024, 1, 15) and r.lastUpdatedOn == dt.datetime(2026, 1, 20, 10, 30)
+
+
+def test_source_format_landing(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from reviewlake.operators.tables import map_apps, map_reviews
+    from reviewlake.sources import files as FL
+
+    path = scratch("landing")
+    spark.createDataFrame([
+        ('{"reviewId": "a1", "userName": "Ann", "userImage": "http://x/y.png", "content": " Nice ", "score": 5, '
+         '"thumbsUpCount": 3, "at": "2026-01-20 10:30:00", "appVersion": "1.2", "replyContent": null}',),
+        ('{"reviewId": "a2", "score": "4.5", "content": "ok", "at": "Jan 21, 2026"}',),
+    ], "value string").coalesce(1).write.text(path)
+    raw = FL.read_landing(spark, path).withColumn("arrival_seq", F.monotonically_increasing_id())
+    got = {r.reviewId: r for r in clean_reviews(raw, "2026-02-01 00:00:00").collect()}
+    assert got["a1"].content == "Nice" and got["a1"].score == 5 and got["a1"].userImage == "http://x/y.png"
+    assert got["a2"].score == 4 and got["a2"].reviewed_at == dt.datetime(2026, 1, 21) and got["a2"].userName is None
+    m = map_reviews(clean_reviews(raw, "2026-02-01 00:00:00"), "2026-02-01 06:00:00", app_id="com.x")
+    assert m.where("thumbs_up_count = 3").count() == 1
+
+    apath = scratch("apps")
+    spark.createDataFrame([('{"appId": "com.x", "title": "X", "categories": [{"name": "Tools", "id": "TOOLS"}], '
+                            '"free": true, "minInstalls": 1000}',)], "value string").write.text(apath)
+    app = map_apps(clean_apps(FL.read_landing(spark, apath, FL.SOURCE_APP_SCHEMA)), "2026-02-01 06:00:00").first()
+    import json
+
+    assert json.loads(app.category) == [{"name": "Tools", "id": "TOOLS"}]
+    assert app.free is True and app.min_installs == 1000

@@ -143,7 +143,7 @@ def test_source_format_landing(spark, scratch):
          '"thumbsUpCount": 3, "at": "2026-01-20 10:30:00", "appVersion": "1.2", "replyContent": null}',),
         ('{"reviewId": "a2", "score": "4.5", "content": "ok", "at": "Jan 21, 2026"}',),
     ], "value string").coalesce(1).write.text(path)
-    raw = FL.read_landing(spark, path).withColumn("arrival_seq", F.monotonically_increasing_id())
+    raw = FL.with_arrival_order(FL.read_landing(spark, path))
     got = {r.reviewId: r for r in clean_reviews(raw, "2026-02-01 00:00:00").collect()}
     assert got["a1"].content == "Nice" and got["a1"].score == 5 and got["a1"].userImage == "http://x/y.png"
     assert got["a2"].score == 4 and got["a2"].reviewed_at == dt.datetime(2026, 1, 21) and got["a2"].userName is None

@@ -51,9 +51,11 @@ def incremental_inserted(cleaned_batched: DataFrame) -> DataFrame:
     return first_writer_wins(cleaned_batched, "reviewId", ["batch_no", "arrival_seq"])
 
 
-def incremental_reviews(raw_batched: DataFrame, as_of, run_ts, time_col: str = "at") -> DataFrame:
-    """Stored rows of the incremental run, with the batch that inserted each."""
-    ins = incremental_inserted(incremental_clean(raw_batched, as_of, time_col))
+def incremental_reviews(raw_batched: DataFrame, as_of, run_ts, time_col: str = "at",
+                        max_batches: int | None = None) -> DataFrame:
+    """Stored rows of the incremental run, with the batch that inserted each
+    (``max_batches``: 0/None = every batch)."""
+    ins = incremental_inserted(incremental_clean(bound_batches(raw_batched, max_batches), as_of, time_col))
     return map_reviews(ins, run_ts, keep=["batch_no"])
 
 

@@ -132,8 +132,6 @@ def test_clean_apps_coercion(spark):
 
 
 def test_source_format_landing(spark, scratch):
-    from pyspark.sql import functions as F
-
     from reviewlake.operators.tables import map_apps, map_reviews
     from reviewlake.sources import files as FL
 

@@ -521,3 +521,26 @@ o("raw_json_variant", with_(*CLEAN) + """SELECT reviewId AS review_id, score AS
   thumbsUpCount AS v_thumbs, reviewed_at_imputed AS v_imputed FROM clean""")
 o("insert_new_reviews_bucketed", ORACLE["insert_new_reviews"])
 o("numeric_summary_distributed", ORACLE["numeric_summary"])
+o("incremental_job_history", with_(*INC, RAW_APPS, """r1 AS (
+  SELECT f.app_id, f.fetched, coalesce(c.cleaned, 0) AS cleaned, coalesce(i.inserted, 0) AS inserted, f.batches FROM
+    (SELECT app_id, count(*) AS fetched, count(DISTINCT batch_no) AS batches FROM raw_batched GROUP BY 1) f
+    LEFT JOIN (SELECT app_id, count(*) AS cleaned FROM cb GROUP BY 1) c USING (app_id)
+    LEFT JOIN (SELECT app_id, count(*) AS inserted FROM ins GROUP BY 1) i USING (app_id)),
+runs AS (
+  SELECT 'inc-1' AS run_id, app_id, fetched, cleaned, inserted, batches FROM r1
+  UNION ALL SELECT 'inc-2', concat('com.', event_type), 0, 0, 0, 0
+    FROM (SELECT DISTINCT event_type FROM events) WHERE event_type <> 'error'),
+mon AS (SELECT *, lag(run_id) OVER w AS prev_id, lag(fetched) OVER w AS prev_f, lag(inserted) OVER w AS prev_i
+  FROM runs WINDOW w AS (PARTITION BY app_id ORDER BY run_id))""") + """
+SELECT run_id, app_id, 'incremental' AS mode, CASE WHEN fetched = 0 THEN 'failed' ELSE 'success' END AS status,
+  CAST(batches AS BIGINT) AS batches_processed, CAST(fetched AS BIGINT) AS total_reviews_fetched,
+  CAST(cleaned AS BIGINT) AS total_reviews_cleaned, CAST(inserted AS BIGINT) AS total_reviews_inserted,
+  prev_id AS previous_run_id,
+  array_to_string(list_filter([
+    CASE WHEN fetched = 0 THEN 'run_failed' END,
+    CASE WHEN prev_id IS NOT NULL AND prev_f > 0 AND round(((fetched - prev_f)::DOUBLE / prev_f::DOUBLE) * 100.0, 2) <= -80 THEN 'material_fetched_drop' END,
+    CASE WHEN prev_id IS NOT NULL AND prev_i > 0 AND round(((inserted - prev_i)::DOUBLE / prev_i::DOUBLE) * 100.0, 2) <= -80 THEN 'material_inserted_drop' END,
+    CASE WHEN prev_id IS NOT NULL AND inserted = 0 AND prev_i > 0 THEN 'zero_inserted_after_nonzero_baseline' END,
+    CASE WHEN prev_id IS NOT NULL AND fetched = 0 AND prev_f > 0 THEN 'zero_fetched_after_nonzero_baseline' END],
+    lambda x: x IS NOT NULL), ',') AS anomaly_list
+FROM mon""")

@@ -766,6 +766,25 @@ def _stream(spark, d):
     return table, metrics
 
 
+@q("incremental_job_history")
+def _(spark, d):
+    """Two persisted incremental runs over one landing folder: the first drains
+    it, the second finds nothing new and is recorded as failed with flags."""
+    root = scratch_dir(spark, "warehouse")
+    landing = f"{root}/landing"
+    SI.write_landing(batched(spark, d), landing)
+    a = FX.raw_apps(spark, d)
+    for run_id, ts in (("inc-1", RUN_TS), ("inc-2", RUN_TS2)):
+        JB.incremental_job(spark, landing, root, AS_OF, ts, run_id, raw_apps=a, time_col=TIME_COL,
+                           max_files_per_trigger=5)
+    h = JB.read_history(spark, root)
+    return h.select(
+        "run_id", "app_id", "mode", "status", "batches_processed", "total_reviews_fetched", "total_reviews_cleaned",
+        "total_reviews_inserted", F.col("monitoring.previous_run_id").alias("previous_run_id"),
+        F.array_join("monitoring.anomalies", ",").alias("anomaly_list"),
+    )
+
+
 @q("stream_ingest")
 def _(spark, d):
     table, _m = _stream(spark, d)
@@ -775,4 +794,4 @@ def _(spark, d):
 @q("stream_batch_metrics")
 def _(spark, d):
     _t, metrics = _stream(spark, d)
-    return spark.read.parquet(metrics).drop("epoch_id")
+    return SI.batch_metrics(spark, metrics)

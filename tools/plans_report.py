@@ -42,7 +42,7 @@ def clean_plan(text: str) -> str:
             continue
         if "FileScan" in line:
             head = line.split(" Batched:")[0]
-            keep = [m.group(0)[:140] for key in ("Bucketed", "PartitionFilters", "PushedFilters", "ReadSchema")
+            keep = [m.group(0)[:300] for key in ("Bucketed", "PartitionFilters", "PushedFilters", "ReadSchema")
                     for m in [re.search(key + r": (\[[^\]]*\]|[^,]*)", line)] if m]
             out.append(head[:110] + (" ... " if len(head) > 110 else " ") + ", ".join(keep))
             continue
@@ -53,6 +53,7 @@ def clean_plan(text: str) -> str:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session()
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # full filter lists in scan nodes
     parts = ["# Physical plans of the key operators\n",
              f"Generated by `tools/plans_report.py` on `{sf}` (`local[*]`, AQE on; plans before AQE re-planning).\n"]
     for name, note in NOTES.items():

@@ -231,21 +231,23 @@ def numeric_summary(df: DataFrame, cols: list[str], method: str = "exact") -> Da
       * ``approx``: the mergeable quantile sketch (``percentile_approx``).
     """
     if method == "distributed":
-        from reviewlake.operators.quantiles import exact_quantiles
+        from reviewlake.operators.quantiles import exact_quantile_values
 
         parts = []
         for c in cols:
             x = F.col(c).cast("double")
-            m = df.agg(F.count(x).alias("count"), _r(F.avg(x)).alias("mean"), _r(F.stddev_samp(x)).alias("std"),
-                       _r(F.min(x)).alias("min"), _r(F.max(x)).alias("max")).withColumn("column_name", F.lit(c))
-            q = exact_quantiles(df, c, [0.25, 0.5, 0.75]).select(
-                F.lit(c).alias("column_name"), _r(F.col("q0")).alias("p25"), _r(F.col("q1")).alias("p50"),
-                _r(F.col("q2")).alias("p75"))
-            parts.append(m.join(q, "column_name"))  # one row each, joined on the column name
+            q25, q50, q75 = exact_quantile_values(df, c, [0.25, 0.5, 0.75])
+            lit = lambda v: F.lit(v).cast("double")
+            parts.append(df.agg(
+                F.lit(c).alias("column_name"), F.count(x).alias("count"), _r(F.avg(x)).alias("mean"),
+                _r(F.stddev_samp(x)).alias("std"), _r(F.min(x)).alias("min"),
+                _r(lit(q25)).alias("p25"), _r(lit(q50)).alias("p50"), _r(lit(q75)).alias("p75"),
+                _r(F.max(x)).alias("max"),
+            ))
         out = parts[0]
         for p_ in parts[1:]:
             out = out.unionByName(p_)
-        return out.select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+        return out
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for i, c in enumerate(cols):

@@ -12,10 +12,9 @@ bounded state per task:
   3. per-partition totals (one row per partition) give each partition's
      offset with a window over those few rows, broadcast back;
   4. the values at the target ranks are picked with a filter and one small
-     aggregation, then interpolated as columns.
+     aggregation (at most two rows per probability survive the filter).
 
-Only the total count (one number) reaches the driver, to turn probabilities
-into ranks.
+Only the value count and the few quantile values reach the driver.
 """
 
 from __future__ import annotations
@@ -27,11 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], partitions: int | None = None) -> DataFrame:
-    """One row with ``q0, q1, ...`` (double) for ``probs``; nulls and NaN are ignored.
+def exact_quantile_values(df: DataFrame, col: str, probs: list[float], partitions: int | None = None) -> list:
+    """The exact quantiles of ``col`` for ``probs`` as numbers (None when the
+    column has no values); nulls and NaN are ignored.
 
-    ``q_i`` = v[lo] + (pos - lo) * (v[hi] - v[lo]) with pos = p * (n - 1) over the
-    sorted non-null values (0-based), lo/hi its floor/ceil.
+    q = v[lo] + (pos - lo) * (v[hi] - v[lo]) with pos = p * (n - 1) over the
+    sorted values (0-based), lo/hi its floor/ceil.  Two small results reach
+    the driver: the value count and the len(probs) quantiles.
     """
     spark = df.sparkSession
     x = F.col(col).cast("double")
@@ -39,33 +40,46 @@ def exact_quantiles(df: DataFrame, col: str, probs: list[float], partitions: int
         df.select(x.alias("v")).where(F.col("v").isNotNull() & ~F.isnan(F.col("v")))
         .groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     )
-    n = counts.agg(F.sum("c").alias("n")).first()["n"] or 0
-    if n == 0:
-        return spark.range(1).select(*[F.lit(None).cast("double").alias(f"q{i}") for i in range(len(probs))])
-    pos = [p * (n - 1) for p in probs]
-    ranks = sorted({int(math.floor(q)) for q in pos} | {int(math.ceil(q)) for q in pos})
-
     nparts = partitions or spark.sparkContext.defaultParallelism
-    ranged = counts.repartitionByRange(nparts, "v").withColumn("pid", F.spark_partition_id())
-    upto = Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("cum", F.sum("c").over(upto))
-    totals = local.groupBy("pid").agg(F.max("cum").alias("t"))  # one row per partition
-    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)  # over those few rows only
-    offsets = totals.select("pid", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
-    g = local.join(F.broadcast(offsets), "pid").select(
-        "v", (F.col("off") + F.col("cum") - F.col("c")).alias("first_rank"), (F.col("off") + F.col("cum")).alias("end_rank")
+    # the cumulative-count frame feeds two branches: compute it once
+    local = (
+        counts.repartitionByRange(nparts, "v").withColumn("pid", F.spark_partition_id())
+        .withColumn("cum", F.sum("c").over(
+            Window.partitionBy("pid").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        .persist()
     )
-    # a row covers ranks [first_rank, end_rank); keep the rows that cover a target rank
-    cover = None
-    for r in ranks:
-        cond = (F.col("first_rank") <= F.lit(r)) & (F.lit(r) < F.col("end_rank"))
-        cover = cond if cover is None else cover | cond
-    hits = g.where(cover)  # at most len(ranks) rows
-    at = {r: F.max(F.when((F.col("first_rank") <= F.lit(r)) & (F.lit(r) < F.col("end_rank")), F.col("v"))) for r in ranks}
-    vals = hits.agg(*[at[r].alias(f"r{r}") for r in ranks])
+    try:
+        totals = local.groupBy("pid").agg(F.max("cum").alias("t"))  # one row per partition
+        n = totals.agg(F.sum("t").alias("n")).first()["n"] or 0
+        if n == 0:
+            return [None] * len(probs)
+        pos = [p * (n - 1) for p in probs]
+        ranks = sorted({int(math.floor(q)) for q in pos} | {int(math.ceil(q)) for q in pos})
+        before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)  # over those few rows only
+        offsets = totals.select("pid", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
+        g = local.join(F.broadcast(offsets), "pid").select(
+            "v", (F.col("off") + F.col("cum") - F.col("c")).alias("first_rank"),
+            (F.col("off") + F.col("cum")).alias("end_rank"),
+        )
+        # a row covers ranks [first_rank, end_rank); keep the rows that cover a target rank
+        def covers(r):
+            return (F.col("first_rank") <= F.lit(r)) & (F.lit(r) < F.col("end_rank"))
+
+        cover = covers(ranks[0])
+        for r in ranks[1:]:
+            cover = cover | covers(r)
+        row = g.where(cover).agg(*[F.max(F.when(covers(r), F.col("v"))).alias(f"r{r}") for r in ranks]).first()
+    finally:
+        local.unpersist()
     out = []
-    for i, q in enumerate(pos):
+    for q in pos:
         lo, hi = int(math.floor(q)), int(math.ceil(q))
-        frac = q - lo
-        out.append((F.col(f"r{lo}") + (F.col(f"r{hi}") - F.col(f"r{lo}")) * F.lit(frac)).alias(f"q{i}"))
-    return vals.select(*out)
+        out.append(row[f"r{lo}"] + (row[f"r{hi}"] - row[f"r{lo}"]) * (q - lo))
+    return out
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], partitions: int | None = None) -> DataFrame:
+    """One row with ``q0, q1, ...`` (double) for ``probs`` (see ``exact_quantile_values``)."""
+    vals = exact_quantile_values(df, col, probs, partitions)
+    schema = ", ".join(f"q{i} double" for i in range(len(probs)))
+    return df.sparkSession.createDataFrame([tuple(vals)], schema)

@@ -52,8 +52,10 @@ def test_no_cartesian_products(spark):
     for name, fn in Q.items():
         if name.startswith(("stream_", "csv_", "landing_", "reviews_table_", "run_history_")):
             continue
-        p = _optimized(fn(spark, SF))
+        df = fn(spark, SF)
+        p = _optimized(df)
         assert "Join Cross" not in p and "CartesianProduct" not in p, name
+        assert "NestedLoopJoin" not in _plan(df), name
 
 
 def test_bucketed_store_is_not_shuffled(spark):

@@ -31,7 +31,8 @@ def ALL():
 
 
 def _pct(n, total):
-    return F.round(n.cast("double") * F.lit(100.0) / total.cast("double"), PCT_DIGITS)
+    """Share in percent; null (not an error, also under ANSI) when the total is 0."""
+    return F.round(F.try_divide(n.cast("double") * F.lit(100.0), total.cast("double")), PCT_DIGITS)
 
 
 def _r(c):

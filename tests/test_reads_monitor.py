@@ -126,3 +126,16 @@ def test_history_lines_in_the_source_format(spark, scratch):
     assert rows["a"].end_time_utc == dt.datetime(2026, 1, 20, 10, 31)
     assert rows["b"].end_time_utc == dt.datetime(2026, 1, 20, 17, 0)  # -02:30 -> UTC
     assert rows["a"].monitoring.anomalies == []
+
+
+def test_profiles_on_empty_input(spark):
+    from reviewlake.operators import profile as P
+
+    empty = spark.createDataFrame([], "score int, content string, ts timestamp_ntz")
+    assert P.sentiment_breakdown(empty).first().positive_pct is None
+    assert P.emoji_share(empty).first().pct is None
+    assert P.temporal_validity(empty, "ts").first().pct is None
+    assert all(r.missing_pct is None for r in P.column_profile(empty).collect())
+    assert P.empty_content(empty).first().empty_content == 0
+    assert P.char_length_stats(empty).first().max_length == 0
+    assert P.rating_distribution(empty).count() == 0

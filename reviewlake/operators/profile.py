@@ -104,10 +104,6 @@ def sentiment_breakdown(df: DataFrame, score: str = "score") -> DataFrame:
 
 
 # ---------------------------------------------------------------- text
-def with_word_count(df: DataFrame, content: str = "content") -> DataFrame:
-    return df.withColumn("word_count", T.word_count(content))
-
-
 def word_count_stats(df: DataFrame, content: str = "content") -> DataFrame:
     w = T.word_count(content)
     return df.agg(

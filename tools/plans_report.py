@@ -27,8 +27,9 @@ NOTES = {
     "reviews_table_read_pruned": "Stored layout: PartitionFilters on app_id, PushedFilters on reviewed_at.",
     "reviews_latest": "Top-k as TakeOrderedAndProject, no global sort.",
     "statistics": "One pass: Expand (cube) + partial aggregation for per-app, per-score and total counts.",
-    "numeric_summary_distributed": "Exact quartiles: (value, count) pre-aggregation, range partitioning, window per "
-                                   "partition, broadcast offsets.",
+    "numeric_summary_distributed": "The moments in one aggregation; the exact quartiles arrive as literals, computed "
+                                   "beforehand by operators/quantiles.py ((value, count) pre-aggregation, range "
+                                   "partitioning, cumulative counts per partition, broadcast offsets).",
 }
 
 

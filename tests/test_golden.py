@@ -31,3 +31,11 @@ def test_profile_values(q):
 def test_merge_values(q):
     assert q("orphan_reviews").count() == 1653
     assert q("clean_reviews").where(F.lower("content").contains("50% off_")).count() == 373
+
+
+def test_daily_counts_on_events(spark):
+    from reviewlake.operators.profile import daily_count_stats
+    from reviewlake.sources.fixture import table
+
+    s = daily_count_stats(table(spark, SF, "events"), "ts").first()
+    assert (s.mean_per_day, s.median_per_day, s.min_per_day, s.max_per_day) == (333.333333, 332.0, 302, 364)

@@ -8,10 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import mixing, packing, simhash
-from reviewlake.llm.common import table
+from reviewlake.llm import ann, lmscore, mixing, packing, simhash, topk, toxicity
+from reviewlake.llm.common import crc_bucket, table
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
+
+
+def op1_permutation_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.permutation_search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op2_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,13 +33,30 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (crc_bucket(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = lmscore.lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+    return s.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_permutation_search": op1_permutation_search,
+    "op2_threshold_topk": op2_threshold_topk,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
+    "op7_toxicity": op7_toxicity,
+    "op8_lm_scores": op8_lm_scores,
     "op10_simhash": op10_simhash,
 }

@@ -152,23 +152,22 @@ def fingerprint_components(fps: DataFrame, max_bits: int = 4, segments: int = 3)
 
     index = _tables(nodes, segments, "comp")
     probes = _ball(index, segments, max_bits // segments)
-    span = index.groupBy("seg", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    span = (
+        index.groupBy("seg", "key", "comp").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("seg", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max_by("comp", F.struct("n", "comp")).alias("big"))
+    )
     probes = stage(
         probes.join(span, ["seg", "key"]).where((F.col("lo") != F.col("comp")) | (F.col("hi") != F.col("comp")))
-        .select("seg", "key", "fp", "comp"),
+        .select("seg", "key", "fp", "comp", "big"),
         "probes",
     )
-    hits = index.join(probes.select("seg", "key").distinct(), ["seg", "key"], "left_semi").select(
-        "seg", "key", F.col("fp").alias("other"), F.col("comp").alias("comp2")
-    )
-    hits = stage(hits, "hits")
-    # components that meet in a bucket, then only their members: never all pairs of a bucket
-    meet = (
-        probes.select("seg", "key", "comp").distinct()
-        .join(hits.select("seg", "key", "comp2").distinct(), ["seg", "key"])
-        .where("comp <> comp2")
+    hits = index.join(probes.select("seg", "key", F.col("big").alias("big2")).distinct(), ["seg", "key"]).select(
+        "seg", "key", F.col("fp").alias("other"), F.col("comp").alias("comp2"), (F.col("comp") == F.col("big2")).alias("main")
     )
-    links = probes.join(meet, ["seg", "key", "comp"]).join(hits, ["seg", "key", "comp2"]).where(near)
+    # a bucket's largest component is met by the others only: its members are never compared with each other
+    both = F.when(F.col("comp") == F.col("big"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
+    asked = probes.withColumn("main", F.explode(both)).drop("big")
+    links = asked.join(stage(hits, "hits"), ["seg", "key", "main"]).where((F.col("comp") != F.col("comp2")) & near)
     second = connected(links.select(F.col("comp").alias("a"), F.col("comp2").alias("b")), "links")
     return nodes.join(second, nodes.comp == second.node, "left").select("fp", F.coalesce(second.comp, nodes.comp).alias("comp"))
 

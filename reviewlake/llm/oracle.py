@@ -34,3 +34,65 @@ SELECT d.doc_id, d.size, p.source_size, p.target, (d.size * (p.whole + CASE WHEN
 FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 JOIN cut c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 """
+
+_SENTENCE = r"""
+  SELECT doc_id, list_filter(list_transform(string_split(
+    regexp_replace(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t]+', '\1' || chr(1), 'g'), '[ \t\r]*\n+([^a-z]|\z)', chr(1) || '\1', 'g'), chr(1)),
+    lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS parts
+  FROM documents"""
+
+
+def _license_sql() -> str:
+    from reviewlake.llm.licenses import KNOWN, RULES, pattern
+
+    known = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in KNOWN.items()) + "}"
+    steps, last = [], "signs0"
+    for i, (_, rule) in enumerate(RULES):
+        rest = "s" if i == 0 else "rest"
+        steps.append(
+            f"r{i} AS (SELECT * EXCLUDE (rest), regexp_matches(rest, '{pattern(rule)}') AS m{i}, "
+            f"regexp_replace(rest, '{pattern(rule)}', '.', 'g') AS rest FROM {last})"
+        )
+        last = f"r{i}"
+    names = ", ".join(f"CASE WHEN m{i} THEN '{n}' END" for i, (n, _) in enumerate(RULES))
+    order = ", ".join(f"'{n}'" for n in dict.fromkeys(n for n, _ in RULES))
+    return f"""
+WITH sentences AS ({_SENTENCE}),
+signs0 AS (SELECT doc_id, s, s AS rest FROM (
+  SELECT doc_id, coalesce(array_to_string(list_transform(parts, lambda p: coalesce(map_extract({known}, p)[1], '.')), ''), '') AS s FROM sentences)),
+{", ".join(steps)}
+SELECT doc_id, length(s)::BIGINT AS n_sentences, length(replace(s, '.', ''))::BIGINT AS n_known,
+       regexp_replace(regexp_replace(s, '^\\.+|\\.+\\z', '', 'g'), '\\.{{3,}}', '...', 'g') AS signs,
+       coalesce(array_to_string(list_filter([{order}], lambda n: list_contains([{names}], n)), ','), '') AS licences
+FROM {last}""".replace("\\\\", "\\")
+
+
+ORACLE["op3_licenses"] = _license_sql()
+
+# Digests straight from the rows, not from formatted text; a turn's fixed marks take 24 code points.
+ORACLE["op6_chat"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok')
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(24 + length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\\\1|', 'g'))
+              + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id
+"""
+
+# Candidates are all rows: SQL scores every pair.
+ORACLE["op2_threshold_topk"] = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 20
+"""

@@ -23,7 +23,7 @@ ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from reviewlake.llm.common import crc_bucket, pick, stage
 
 CLASSES = 64  # text classes by hash of the class column; only those with training texts are used
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 24 << 20  # of text; the words of a block and their counts are what a scoring task holds
 DISCOUNT = 0.75
 MAX_PIECE = 12  # bytes
 END = b""  # the end of a text, as a word: no real word is empty
@@ -121,58 +121,78 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def _blocked(docs: DataFrame) -> DataFrame:
-    """Staged (block, id, class, train, t): runs of rows of about BLOCK_BYTES."""
-    schema = T.StructType([T.StructField("block", T.LongType()), *docs.schema.fields])
-    names = [f.name for f in schema.fields]
+def _encoded(docs: DataFrame) -> DataFrame:
+    """Staged blocks of rows: runs of texts of about BLOCK_BYTES, whose words are numbered
+    in the block (0 is the end).  A block is two kinds of rows: its words (no, word and the
+    training count n per class; ``first`` marks one row per number) and its texts (id,
+    train and code, the compressed numbers of its words)."""
+    id_type = docs.schema["id"].dataType
+    schema = T.StructType([
+        T.StructField("block", T.LongType()), T.StructField("no", T.IntegerType()), T.StructField("word", T.BinaryType()),
+        T.StructField("class", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("first", T.BooleanType()),
+        T.StructField("id", id_type), T.StructField("train", T.BooleanType()), T.StructField("code", T.BinaryType()),
+    ])
 
     def run(batches):
+        import zstandard
         from pyspark import TaskContext
-
-        base, size, sub = TaskContext.get().partitionId() << 32, 0, 0
-        for b in batches:
-            blocks = []
-            for n in pa.compute.binary_length(b.column(b.num_columns - 1)).to_pylist():
-                if size and size + (n or 0) > BLOCK_BYTES:
-                    size, sub = 0, sub + 1
-                size += (n or 0) + 16
-                blocks.append(base + sub)
-            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), *b.columns], names=names)
-
-    return stage(docs.mapInArrow(run, schema), "texts")
-
-
-def _counts(blocked: DataFrame) -> DataFrame:
-    """Staged (block, word, class, n): training counts of each block's words; n is 0 for a
-    word that the block has in other texts."""
-
-    def rows(block, by: dict[int, Counter]):
-        for k, c in by.items():
-            words, n = list(c), list(c.values())
-            for i in range(0, len(words), 50_000):
-                w = words[i : i + 50_000]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([block] * len(w), pa.int64()), pa.array(w, pa.binary()), pa.array([k] * len(w), pa.int32()), pa.array(n[i : i + 50_000], pa.int64())],
-                    names=["block", "word", "class", "n"],
-                )
-
-    def run(batches):
-        block, by = None, {}
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.bool_(), to_arrow_type(id_type), pa.bool_(), pa.binary()]
+        pack = zstandard.ZstdCompressor(level=1).compress
+        block, size = TaskContext.get().partitionId() << 32, 0
+        number: defaultdict = defaultdict()
+        seen: dict[int, list[np.ndarray]] = {}
+
+        def fresh():
+            number.clear()
+            number.default_factory = number.__len__
+            number[END]  # noqa: B018  the end is number 0 of every block
+            seen.clear()
+
+        def batch(size_, **cols):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(cols[f], k) if f in cols else pa.nulls(size_, k) for f, k in zip(schema.names, kinds, strict=True)], names=schema.names
+            )
+
+        def word_rows():
+            words = pa.array(list(number), pa.binary())
+            left = np.ones(len(words), dtype=bool)
+            for k, parts in seen.items():
+                n = np.bincount(np.concatenate(parts), minlength=len(words))
+                yield k, np.flatnonzero(n), n, words, left
+                left &= n == 0
+            yield -1, np.flatnonzero(left), np.zeros(len(words), dtype=np.int64), words, left
+
+        def flush():
+            for k, at, n, words, left in word_rows():
+                for i in range(0, len(at), 100_000):
+                    a = at[i : i + 100_000]
+                    yield batch(len(a), block=np.full(len(a), block), no=a.astype(np.int32), word=words.take(pa.array(a)),
+                                **{"class": np.full(len(a), k, dtype=np.int32)}, n=n[a], first=left[a])
+
+        fresh()
         for b in batches:
-            for bl, k, train, t in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
-                if bl != block:
-                    yield from rows(block, by)
-                    block, by = bl, {}
+            out: list[tuple] = []
+            for i, k, train, t in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if size and size + len(t or b"") > BLOCK_BYTES:
+                    if out:
+                        yield batch(len(out), **dict(zip(("block", "id", "train", "code"), zip(*out, strict=True), strict=True)))
+                        out = []
+                    yield from flush()
+                    fresh()
+                    block, size = block + 1, 0
+                size += len(t or b"") + 16
+                words = words_of(t)
+                nums = np.fromiter(map(number.__getitem__, words), dtype=np.uint32, count=len(words))
                 if train:
-                    c = by.setdefault(k, Counter())
-                    c.update(words_of(t))
-                    c[END] += 1
-                else:
-                    by.setdefault(-1, Counter()).update(dict.fromkeys(words_of(t), 0))
-                    by[-1][END] = 0
-        yield from rows(block, by)
+                    seen.setdefault(k, []).extend((nums, np.zeros(1, dtype=np.uint32)))
+                out.append((block, i, train, pack(nums.tobytes())))
+            if out:
+                yield batch(len(out), **dict(zip(("block", "id", "train", "code"), zip(*out, strict=True), strict=True)))
+        yield from flush()
 
-    return stage(blocked.select("block", "class", "train", "t").mapInArrow(run, "block long, word binary, class int, n long"), "counts")
+    return stage(docs.mapInArrow(run, schema), "blocks")
 
 
 def reweighted(words: DataFrame, pieces: Pieces) -> Pieces:
@@ -222,31 +242,28 @@ def lm_scores(
         F.col(f"`{id_col}`").alias("id"), k.cast("int").alias("class"),
         (crc_bucket(F.col(f"`{id_col}`"), fold) != held).alias("train"), F.col(f"`{text_col}`").cast("binary").alias("t"),
     )
-    blocked = _blocked(src)
-    counts = _counts(blocked)
-
-    by_class = counts.groupBy("word", "class").agg(F.sum("n").alias("n"))
-    words = by_class.groupBy("word").agg(
-        F.sum("n").alias("c"), F.collect_list(F.when(F.col("n") > 0, F.struct("class", "n"))).alias("parts")
+    blocks = _encoded(src)
+    rows = blocks.where("word IS NOT NULL").select("block", "no", "word", "class", "n", "first")
+    active = sorted(r["class"] for r in rows.where("n > 0").select("class").distinct().collect())  # at most CLASSES
+    words = rows.groupBy("word").agg(
+        F.sum("n").alias("c"), *[F.sum(F.when(F.col("class") == x, F.col("n")).otherwise(0)).alias(f"c{i}") for i, x in enumerate(active)]
     )
     words = stage(words, "words")
-    per = {
-        r["class"]: (r.n, r.v, r.d) for r in words.select(F.explode("parts").alias("p"), "word").groupBy("p.class").agg(
-            F.sum("p.n").alias("n"), F.count(F.lit(1)).alias("v"), F.sum(F.when(F.length("word") == 0, F.col("p.n")).otherwise(0)).alias("d")
-        ).collect()  # at most CLASSES rows
-    }
-    total = words.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    n_all, v_all = total[0] or 0, total[1] or 0
+    sums = words.agg(
+        F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v"),
+        *[f(f"c{i}").alias(f"{a}{i}") for i in range(len(active)) for a, f in (
+            ("n", F.sum), ("v", lambda c: F.count_if(F.col(c) > 0)), ("d", lambda c: F.sum(F.when(F.length("word") == 0, F.col(c)).otherwise(0))))],
+    ).first()
+    n_all, v_all = sums["n"] or 0, sums["v"] or 0
+    per = [(sums[f"n{i}"], sums[f"v{i}"], sums[f"d{i}"]) for i in range(len(active))]
     pieces = reweighted(words.where("c > 0 AND length(word) > 0"), vocabulary(vocabulary_path))
     known = _lattices(words, pieces)
-    slices = counts.select("block", "word").distinct().join(known, "word")
-
-    active = sorted(per)
-    texts = sum(per[x][2] for x in active)
-    prior = [math.log10(per[x][2] / texts) for x in active] or [0.0]
-    size = np.array([per[x][0] for x in active] or [1.0], dtype=float)
-    back = np.array([DISCOUNT * per[x][1] / per[x][0] for x in active] or [1.0])  # what the discount leaves to the pieces
-    column = {x: i for i, x in enumerate(active)}
+    slices = rows.where("first").select("block", "no", "word").join(known, "word").drop("word")
+
+    texts = sum(d for *_, d in per)
+    prior = [math.log10(d / texts) for *_, d in per] or [0.0]
+    size = np.array([n for n, *_ in per] or [1.0], dtype=float)
+    back = np.array([DISCOUNT * v / n for n, v, _ in per] or [1.0])  # what the discount leaves to the pieces
     base_of = math.log10(n_all + v_all + 1)
     id_type = src.schema["id"].dataType
     out = T.StructType([
@@ -255,21 +272,22 @@ def lm_scores(
     ])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        at = {w: i for i, w in enumerate(right.column("word").to_pylist())}
-        sub = right.column("sub").to_numpy()
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        order = np.argsort(right.column("no").to_numpy())  # the numbers of a block are 0, 1, 2, ...
+        sub = right.column("sub").to_numpy()[order]
         m = 10.0 ** np.maximum(sub, -300.0)[:, None] * back[None, :]
-        parts = right.column("parts").combine_chunks()
-        if active and len(parts):
-            row = np.repeat(np.arange(len(parts)), np.diff(parts.offsets.to_numpy()))
-            col = np.array([column[x] for x in parts.flatten().field("class").to_pylist()], dtype=np.int64)
-            m[row, col] += (parts.flatten().field("n").to_numpy(zero_copy_only=False) - DISCOUNT) / size[col]
+        for i in range(len(per)):
+            n = right.column(f"c{i}").to_numpy()[order]
+            m[:, i] += np.where(n > 0, n - DISCOUNT, 0.0) / size[i]
         with np.errstate(divide="ignore"):
             m = np.where(m > 1e-290, np.log10(np.maximum(m, 1e-300)), sub[:, None] + np.log10(back)[None, :])
-        c = right.column("c").to_numpy()
+        c = right.column("c").to_numpy()[order]
         base = np.log10(c + 1.0) - base_of
         got: tuple[list, ...] = ([], [], [], [])
-        for t in left.column("t").to_pylist():
-            i = np.fromiter(map(at.__getitem__, [*words_of(t), END]), dtype=np.int64)
+        for code in left.column("code").to_pylist():
+            i = np.append(np.frombuffer(unpack(code), dtype=np.uint32), 0).astype(np.int64)
             got[0].append(len(i))
             got[1].append(int(np.count_nonzero(c[i])))
             got[2].append(float(base[i].sum()))
@@ -279,5 +297,6 @@ def lm_scores(
         held_out = pa.compute.invert(left.column("train"))
         return pa.table([left.column("id"), held_out, *(pa.array(g) for g in got)], names=[f.name for f in out.fields])
 
-    scored = blocked.select("block", "id", "train", "t").groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(run, out)
+    docs_of = blocks.where("code IS NOT NULL").select("block", "id", "train", "code")
+    scored = docs_of.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(run, out)
     return scored.withColumnRenamed("id", id_col).withColumn("train_tokens", F.lit(n_all).cast("long"))

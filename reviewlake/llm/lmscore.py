@@ -297,6 +297,6 @@ def lm_scores(
         held_out = pa.compute.invert(left.column("train"))
         return pa.table([left.column("id"), held_out, *(pa.array(g) for g in got)], names=[f.name for f in out.fields])
 
-    docs_of = blocks.where("code IS NOT NULL").select("block", "id", "train", "code")
-    scored = docs_of.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(run, out)
+    docs_of = blocks.where("code IS NOT NULL").select(F.col("block").alias("of"), "id", "train", "code")
+    scored = docs_of.groupBy("of").cogroup(slices.groupBy("block")).applyInArrow(run, out)
     return scored.withColumnRenamed("id", id_col).withColumn("train_tokens", F.lit(n_all).cast("long"))

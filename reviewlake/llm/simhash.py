@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from reviewlake.llm.common import connected, pick, stage
 
+CROWDED = 64  # members from which on a bucket's main component gets its own lane
 CHUNK = 1 << 18  # shingle hashes turned into bit counts at once (16 MB of bits)
 
 
@@ -151,23 +152,23 @@ def fingerprint_components(fps: DataFrame, max_bits: int = 4, segments: int = 3)
     )
 
     index = _tables(nodes, segments, "comp")
-    probes = _ball(index, segments, max_bits // segments)
-    span = (
+    # crowded buckets, and the component that most of their members are in
+    crowded = stage(
         index.groupBy("seg", "key", "comp").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("seg", "key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max_by("comp", F.struct("n", "comp")).alias("big"))
+        .groupBy("seg", "key").agg(F.sum("n").alias("n"), F.max_by("comp", F.struct("n", "comp")).alias("main"))
+        .where(F.col("n") >= CROWDED).drop("n"),
+        "crowded",
     )
-    probes = stage(
-        probes.join(span, ["seg", "key"]).where((F.col("lo") != F.col("comp")) | (F.col("hi") != F.col("comp")))
-        .select("seg", "key", "fp", "comp", "big"),
-        "probes",
+    # members of a main component stand in a lane of their own, which only probes of other
+    # components enter: a large group's members are never compared with each other
+    hits = index.join(crowded, ["seg", "key"], "left").select(
+        "seg", "key", F.when(F.col("comp") == F.col("main"), 1).otherwise(0).alias("lane"),
+        F.col("fp").alias("other"), F.col("comp").alias("comp2"),
     )
-    hits = index.join(probes.select("seg", "key", F.col("big").alias("big2")).distinct(), ["seg", "key"]).select(
-        "seg", "key", F.col("fp").alias("other"), F.col("comp").alias("comp2"), (F.col("comp") == F.col("big2")).alias("main")
-    )
-    # a bucket's largest component is met by the others only: its members are never compared with each other
-    both = F.when(F.col("comp") == F.col("big"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))
-    asked = probes.withColumn("main", F.explode(both)).drop("big")
-    links = asked.join(stage(hits, "hits"), ["seg", "key", "main"]).where((F.col("comp") != F.col("comp2")) & near)
+    probes = _ball(index, segments, max_bits // segments).select("seg", "key", "fp", "comp")
+    more = probes.join(crowded, ["seg", "key"]).where("comp <> main").select("seg", "key", F.lit(1).alias("lane"), "fp", "comp")
+    probes = probes.select("seg", "key", F.lit(0).alias("lane"), "fp", "comp").union(more)
+    links = probes.join(hits, ["seg", "key", "lane"]).where((F.col("comp") != F.col("comp2")) & near)
     second = connected(links.select(F.col("comp").alias("a"), F.col("comp2").alias("b")), "links")
     return nodes.join(second, nodes.comp == second.node, "left").select("fp", F.coalesce(second.comp, nodes.comp).alias("comp"))
 

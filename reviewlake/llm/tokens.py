@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 500_000  # distinct pre-tokens kept per Python process
+CACHE_WORDS = 200_000  # distinct pre-tokens kept per Python process
 
 # Letters, digits and white space of U+0000..U+017F, lower case, as the file's pattern sees them.
 _L = "a-zªµºß-öø-ÿĀ-ſ"

@@ -46,16 +46,27 @@ def _parse_bound(value):
     if value is None:
         return None
     if isinstance(value, _dt.datetime):
-        return value
+        return _utc(value)
     if isinstance(value, _dt.date):
         return _dt.datetime(value.year, value.month, value.day)
-    text = str(value).strip().replace("T", " ").rstrip("Z")
-    for fmt in ("%Y-%m-%d %H:%M:%S.%f", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d %H:%M", "%Y-%m-%d", "%b %d, %Y"):
+    text = str(value).strip()
+    if not text:
+        return None
+    try:
+        return _utc(_dt.datetime.fromisoformat(text.replace("/", "-")))
+    except ValueError:
+        pass
+    for fmt in ("%b %d, %Y", "%d %b %Y", "%B %d, %Y"):
         try:
             return _dt.datetime.strptime(text, fmt)
         except ValueError:
             continue
-    return None
+    raise ValueError(f"not a date or time: {value!r}")
+
+
+def _utc(value: _dt.datetime) -> _dt.datetime:
+    """Without offset as it is, with an offset in UTC; stored times have no zone and mean UTC."""
+    return value if value.tzinfo is None else value.astimezone(_dt.timezone.utc).replace(tzinfo=None)
 
 
 def reviews_by_date_range(reviews: DataFrame, app_id: str, start, end) -> DataFrame:
@@ -78,7 +89,10 @@ def recent_reviews(reviews: DataFrame, app_id: str, as_of, days: int = 7) -> Dat
     """Reviews of the last ``days`` days before ``as_of`` (explicit, not the wall clock)."""
     if days < 1:
         return _empty(reviews)
-    start = _parse_bound(as_of) - _dt.timedelta(days=int(days))
+    now = _parse_bound(as_of)
+    if now is None:
+        raise ValueError("as_of is needed")
+    start = now - _dt.timedelta(days=int(days))
     return newest_first(_app(reviews, app_id).where(F.col("reviewed_at") >= ts_literal(start)))
 
 

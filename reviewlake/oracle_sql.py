@@ -99,20 +99,19 @@ SELECT e.event_id AS arrival_seq,
       WHEN e.event_id % 29 = 0 THEN 'تطبيق رائع جدا' WHEN e.event_id % 23 = 0 THEN 'Great app 😀🚀'
       WHEN e.event_id % 19 = 0 THEN 'ñandú àéîõü ok' WHEN e.event_id % 17 = 0 THEN concat('50% off_a', chr(92), 'b')
       WHEN e.event_id % 16 = 0 THEN concat(chr(160), 'two', '　words', chr(160))
-      ELSE concat(' ', substr(d.text, 1, 500), ' ') END AS content,
+      ELSE concat(' ', d.text, ' ') END AS content,
  CASE WHEN e.event_id % 73 = 0 THEN 'garbage' WHEN e.event_id % 79 = 0 THEN NULL ELSE cast(e.ts AS string) END AS at_text,
  CASE WHEN e.user_id % 9 = 0 THEN NULL WHEN e.user_id % 9 = 1 THEN 'n/a' ELSE cast(e.user_id % 50 AS string) END AS thumbsUpCount,
  CASE WHEN e.user_id % 7 = 0 THEN NULL ELSE concat('1.', cast(e.user_id % 20 AS string)) END AS reviewCreatedVersion,
  CAST(NULL AS string) AS replyContent, CAST(NULL AS string) AS repliedAt, e.props AS extra
-FROM events e JOIN documents d ON d.doc_id = e.event_id % 200
+FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT greatest(count(*), 1) FROM documents)
 )"""
 
 RAW_APPS = r"""raw_apps AS (
-SELECT concat('com.', t.event_type) AS appId, p.p_name AS title, p.p_brand AS developer, p.p_type AS genre,
+SELECT concat('com.', coalesce(t.event_type, concat('part', cast(p.p_partkey AS string)))) AS appId, p.p_name AS title, p.p_brand AS developer, p.p_type AS genre,
  cast(p.p_size AS string) AS score, cast(p.p_partkey * 100 AS string) AS ratings, 'Jan 20, 2026' AS released,
  '2026-01-20 10:30:00' AS lastUpdatedOn, cast(p.p_retailprice AS string) AS price
-FROM (SELECT event_type, row_number() OVER (ORDER BY event_type) AS k FROM (SELECT DISTINCT event_type FROM events) x WHERE event_type <> 'error') t
-JOIN part p ON p.p_partkey = t.k
+FROM part p LEFT JOIN (SELECT event_type, row_number() OVER (ORDER BY event_type) AS k FROM (SELECT DISTINCT event_type FROM events) x WHERE event_type <> 'error') t ON p.p_partkey = t.k
 )"""
 
 BATCHED = f"""raw_batched AS (SELECT *, CAST(floor(arrival_seq / {BATCH_ROWS}) AS BIGINT) AS batch_no FROM raw_reviews)"""
@@ -258,7 +257,7 @@ o("daily_count_stats", with_(*BASE, TYPED) + f"""SELECT {r6('avg(review_count)')
   {r6('median(review_count)')} AS median_per_day, min(review_count) AS min_per_day, max(review_count) AS max_per_day,
   count(*) AS days_present FROM ({_DAILY})""")
 o("date_distribution", with_(*CLEAN) + """SELECT strftime(reviewed_at, '%Y-%m-%d') AS review_date, count(*) AS review_count
-FROM clean GROUP BY 1""")
+FROM clean WHERE NOT reviewed_at_imputed GROUP BY 1""")
 o("day_of_week_counts", with_(*BASE, TYPED) + f"""SELECT weekday_no, weekday, review_count,
   {pct('review_count', 'sum(review_count) OVER ()')} AS pct FROM (
   SELECT CAST(isodow(at_ts) AS INTEGER) AS weekday_no, dayname(at_ts) AS weekday, count(*) AS review_count
@@ -319,7 +318,7 @@ o("review_count_by_app", _RV + "SELECT count(*) AS review_count FROM reviews WHE
 o("preview", with_(*CLEAN) + "SELECT reviewId, userName, score, reviewed_at, content FROM clean ORDER BY arrival_seq LIMIT 3")
 o("sample_reviews", with_(*CLEAN) + f"""SELECT reviewId, content, {script('content')} AS script FROM clean
 ORDER BY md5(reviewId), reviewId LIMIT 5000""")
-o("language_mix_sample", with_(*CLEAN, "s AS (SELECT * FROM clean ORDER BY md5(reviewId), reviewId LIMIT 5000)") + f"""
+o("language_mix_sample", with_(*CLEAN, "s AS (SELECT * FROM clean WHERE md5(reviewId) < '8')") + f"""
 SELECT script, review_count, {pct('review_count', 'sum(review_count) OVER ()')} AS pct
 FROM (SELECT {script('content')} AS script, count(*) AS review_count FROM s GROUP BY 1)""")
 o("feed_order_rating", _RV + """SELECT * FROM reviews
@@ -346,11 +345,10 @@ o("insert_new_reviews", with_(RAW_REVIEWS, *LOADS, clean_cte("c1", "load1"), cle
   + "SELECT * FROM r2 WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.review_id = r2.review_id)")
 
 RAW_APPS_UPDATE = r"""raw_apps_update AS (
-SELECT concat('com.', t.event_type) AS appId, p.p_name AS title, p.p_brand AS developer, p.p_type AS genre,
+SELECT concat('com.', coalesce(t.event_type, concat('part', cast(p.p_partkey AS string)))) AS appId, p.p_name AS title, p.p_brand AS developer, p.p_type AS genre,
  cast(p.p_size AS string) AS score, cast(p.p_partkey * 100 AS string) AS ratings, 'Jan 20, 2026' AS released,
  '2026-01-25T08:00:00Z' AS lastUpdatedOn, cast(p.p_retailprice AS string) AS price
-FROM (SELECT event_type, row_number() OVER (ORDER BY event_type) + 10 AS k FROM (SELECT DISTINCT event_type FROM events) x WHERE event_type <> 'view') t
-JOIN part p ON p.p_partkey = t.k
+FROM part p LEFT JOIN (SELECT event_type, row_number() OVER (ORDER BY event_type) + 10 AS k FROM (SELECT DISTINCT event_type FROM events) x WHERE event_type <> 'view') t ON p.p_partkey = t.k
 )"""
 _APP_DATA = ["title", "developer", "genre", "category", "score", "ratings", "reviews_count", "installs", "min_installs",
              "real_installs", "price", "currency", "free", "released", "last_updated", "version", "content_rating",
@@ -462,7 +460,7 @@ SELECT run_id, 1, CASE WHEN status = 'success' THEN 'run_completed' ELSE 'run_fa
 FROM history""")
 
 # ---------------------------------------------------------------- files, stores, streaming
-o("csv_roundtrip", ORACLE["clean_reviews"])
+o("csv_roundtrip", with_(*BASE) + "SELECT * FROM raw_reviews")
 o("csv_roundtrip_apps", ORACLE["apps_mapped"])
 o("landing_json_scan", with_(*BASE) + "SELECT * FROM raw_reviews WHERE CAST(floor(arrival_seq / 500) AS BIGINT) % 2 = 0 "
   "UNION ALL SELECT * REPLACE (CAST(NULL AS VARCHAR) AS extra, CAST(NULL AS VARCHAR) AS reviewCreatedVersion) "
@@ -527,9 +525,9 @@ o("incremental_job_history", with_(*INC, RAW_APPS, """r1 AS (
     LEFT JOIN (SELECT app_id, count(*) AS cleaned FROM cb GROUP BY 1) c USING (app_id)
     LEFT JOIN (SELECT app_id, count(*) AS inserted FROM ins GROUP BY 1) i USING (app_id)),
 runs AS (
-  SELECT 'inc-1' AS run_id, app_id, fetched, cleaned, inserted, batches FROM r1
-  UNION ALL SELECT 'inc-2', concat('com.', event_type), 0, 0, 0, 0
-    FROM (SELECT DISTINCT event_type FROM events) WHERE event_type <> 'error'),
+  SELECT 'inc-1' AS run_id, coalesce(r1.app_id, a.appId) AS app_id, coalesce(fetched, 0) AS fetched, coalesce(cleaned, 0) AS cleaned,
+    coalesce(inserted, 0) AS inserted, coalesce(batches, 0) AS batches FROM r1 FULL JOIN raw_apps a ON a.appId = r1.app_id
+  UNION ALL SELECT 'inc-2', appId, 0, 0, 0, 0 FROM raw_apps),
 mon AS (SELECT *, lag(run_id) OVER w AS prev_id, lag(fetched) OVER w AS prev_f, lag(inserted) OVER w AS prev_i
   FROM runs WINDOW w AS (PARTITION BY app_id ORDER BY run_id))""") + """
 SELECT run_id, app_id, 'incremental' AS mode, CASE WHEN fetched = 0 THEN 'failed' ELSE 'success' END AS status,

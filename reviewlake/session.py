@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -41,14 +41,18 @@ def scratch_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint directory.
 
     The cluster names its shared folder in ``spark.checkpoint.dir``; it is read
-    from the session.  Only when it is unset (local tests) is a local default
-    chosen and registered with the context.  Every call returns a new
+    from the session.  Only a single-machine session (``local[...]``, as in tests)
+    may go without it; then a local folder is chosen and registered.  Every call returns a new
     sub-folder so runs never clash.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not base:
-        base = sc.getCheckpointDir() or os.path.join("/tmp", "reviewlake-checkpoints")
+        base = sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local["):  # on a cluster a local folder would be one per machine
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="reviewlake-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)
         except Exception:  # core settings may be read-only at run time; the context keeps it

@@ -1,8 +1,8 @@
 """Raw feed views derived from the driver tables (the engine's test input).
 
 ``raw_reviews`` turns ``events`` (+ ``documents`` prose) into a dirty review
-feed with every trap the cleaner must handle; ``raw_apps`` turns four ``part``
-rows into app metadata.  The same derivation exists as SQL text in
+feed with every trap the cleaner must handle: every document is the text of some
+reviews, whole.  ``raw_apps`` turns every ``part`` row into app metadata.  The same derivation exists as SQL text in
 ``reviewlake.oracle_sql`` for the independent DuckDB check.
 
 Fixed values (the dirt patterns, chosen once for the fixture):
@@ -17,16 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewlake.plans.joins import fits
-
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
-# documents used by the feed: doc_id = event_id % 200 lies in [-199, 199]
-DOC_ID_SPAN = 199
-_DOCS_FIT: dict = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,19 +38,10 @@ def _when_chain(*pairs, otherwise):
 def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty review feed, one row per event; ``arrival_seq`` is the feed order."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
-    docs = (
-        table(spark, sf_dir, "documents")
-        .where(F.col("doc_id").between(-DOC_ID_SPAN, DOC_ID_SPAN))
-        .select("doc_id", F.substring("text", 1, 500).alias("doc_text"))
-    )
-    # At most 399 distinct doc ids qualify; the size check keeps the broadcast
-    # honest should doc_id not be unique.  The inputs are immutable files, so
-    # the answer is kept per file list.
-    key = tuple(sorted(docs.inputFiles()))
-    if key not in _DOCS_FIT:
-        _DOCS_FIT[key] = fits(docs, 4 * (2 * DOC_ID_SPAN + 1))
-    docs = F.broadcast(docs) if _DOCS_FIT[key] else docs
-    j = e.join(docs, (e.event_id % F.lit(200)) == docs.doc_id, "inner")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"))
+    # the number of documents is read from the files' metadata; the join is left to the
+    # optimiser, which shuffles both sides when the texts are large
+    j = e.join(docs, (e.event_id % F.lit(max(docs.count(), 1))) == docs.doc_id, "inner")
 
     eid, uid = F.col("event_id"), F.col("user_id")
     s = lambda x: x.cast("string")
@@ -123,36 +109,20 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# At most this many apps (distinct event types) are derived; checked, not assumed.
-MAX_APPS = 10_000
-_TYPES_N: dict = {}
-
-
-def _apps_from_types(spark: SparkSession, sf_dir: str, skip_type: str, key_offset: int, last_updated: str) -> DataFrame:
-    """One app per distinct event type (except ``skip_type``), numbered in name
-    order and matched to the ``part`` row ``key_offset + number``.
-
-    The numbering is a window over the distinct types only; their count is
-    checked (and kept per input file list) before the numbered frame is
-    broadcast, and ``part`` is read with a static key range so row groups
-    outside it are skipped — a large ``part`` is never shuffled.
+def _apps_from_parts(spark: SparkSession, sf_dir: str, skip_type: str, key_offset: int, last_updated: str) -> DataFrame:
+    """One app per ``part`` row.  The event types (except ``skip_type``), numbered in name
+    order, name the parts ``key_offset + number``; every other part is an app of its own,
+    without reviews in the feed.  The numbering is a window over the distinct types only.
     """
     types = (
         table(spark, sf_dir, "events").select("event_type")
         .where(F.col("event_type") != F.lit(skip_type)).distinct()
     )
-    key = (tuple(sorted(types.inputFiles())), skip_type)
-    if key not in _TYPES_N:
-        n = types.limit(MAX_APPS + 1).count()
-        if n > MAX_APPS:
-            raise ValueError(f"more than {MAX_APPS} event types: not an app list")
-        _TYPES_N[key] = n
-    n = _TYPES_N[key]
     t = types.withColumn("k", (F.row_number().over(Window.orderBy("event_type")) + F.lit(key_offset)).cast("bigint"))
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey").between(key_offset + 1, key_offset + max(n, 1)))
-    j = p.join(F.broadcast(t), p.p_partkey == t.k, "inner")
+    p = table(spark, sf_dir, "part")
+    j = p.join(t, p.p_partkey == t.k, "left")
     return j.select(
-        F.concat(F.lit("com."), F.col("event_type")).alias("appId"),
+        F.concat(F.lit("com."), F.coalesce("event_type", F.concat(F.lit("part"), F.col("p_partkey").cast("string")))).alias("appId"),
         F.col("p_name").alias("title"),
         F.col("p_brand").alias("developer"),
         F.col("p_type").alias("genre"),
@@ -165,8 +135,8 @@ def _apps_from_types(spark: SparkSession, sf_dir: str, skip_type: str, key_offse
 
 
 def raw_apps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four apps (one per event type except ``error``), numbers and dates as text."""
-    return _apps_from_types(spark, sf_dir, "error", 0, "2026-01-20 10:30:00")
+    """One app per part; four of them are those of the feed (its event types except ``error``)."""
+    return _apps_from_parts(spark, sf_dir, "error", 0, "2026-01-20 10:30:00")
 
 
 def with_batch_no(raw: DataFrame, batch_rows: int = 500) -> DataFrame:
@@ -177,8 +147,9 @@ def with_batch_no(raw: DataFrame, batch_rows: int = 500) -> DataFrame:
 def raw_apps_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A later app-metadata pull: every event type except ``view`` (so ``error``
     is new and ``view`` is untouched), numbered in name order and matched to
-    the ``part`` rows 10 keys further on (changed titles, scores, prices)."""
-    return _apps_from_types(spark, sf_dir, "view", 10, "2026-01-25T08:00:00Z")
+    the ``part`` rows 10 keys further on (changed titles, scores, prices); every
+    other part comes again under its own name."""
+    return _apps_from_parts(spark, sf_dir, "view", 10, "2026-01-25T08:00:00Z")
 
 
 def run_history(spark: SparkSession, sf_dir: str) -> DataFrame:

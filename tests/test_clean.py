@@ -156,3 +156,23 @@ def test_source_format_landing(spark, scratch):
 
     assert json.loads(app.category) == [{"name": "Tools", "id": "TOOLS"}]
     assert app.free is True and app.min_installs == 1000
+
+
+def test_arrival_follows_file_names_for_unequal_files(spark, scratch):
+    import json
+
+    from reviewlake.operators.clean import clean_reviews
+    from reviewlake.sources import files as FL
+
+    import os
+
+    path = scratch("unequal")
+    os.makedirs(path)
+    row = {"reviewId": "r1", "userName": "u", "score": "5", "at": "2024-01-01 00:00:00"}
+    with open(f"{path}/batch-0001.json", "w") as f:
+        f.write(json.dumps({**row, "content": "FIRST"}) + "\n")
+    with open(f"{path}/batch-0002.json", "w") as f:
+        f.write(json.dumps({**row, "content": "SECOND"}) + "\n")
+        f.writelines(json.dumps({**row, "reviewId": f"x{i}", "content": "more " * 50}) + "\n" for i in range(500))
+    got = clean_reviews(FL.with_arrival_order(FL.read_landing(spark, path)), "2024-02-01 00:00:00")
+    assert [r.content for r in got.where("reviewId = 'r1'").collect()] == ["FIRST"]

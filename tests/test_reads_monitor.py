@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from reviewlake.operators import monitor as M
 from reviewlake.operators import reads as R
 from reviewlake.sources import files as FL
@@ -23,7 +25,8 @@ def test_argument_rules(spark):
     assert R.reviews_by_score(r, "x", 4, 2).count() == 0
     assert R.reviews_by_score(r, "x", 0, 5).count() == 0
     assert R.recent_reviews(r, "x", "2024-01-12", days=0).count() == 0
-    assert R.reviews_by_date_range(r, "x", "not a date", "2024-01-12").count() == 0
+    with pytest.raises(ValueError):
+        R.reviews_by_date_range(r, "x", "not a date", "2024-01-12")
 
 
 def test_search_literal_and_like(spark):
@@ -139,3 +142,28 @@ def test_profiles_on_empty_input(spark):
     assert P.empty_content(empty).first().empty_content == 0
     assert P.char_length_stats(empty).first().max_length == 0
     assert P.rating_distribution(empty).count() == 0
+
+
+def test_date_bounds_with_offsets_and_bad_ones(spark):
+    import datetime as dt
+
+    import pytest
+
+    from reviewlake.operators import reads as R
+
+    df = spark.createDataFrame([("r", "a", dt.datetime(2024, 1, 1, 12), 5)], "review_id string, app_id string, reviewed_at timestamp_ntz, score int")
+    for start in ("2024-01-01T00:00:00+00:00", "2024/01/01", "2024-01-01", "2024-01-01T13:00:00+02:00"):
+        assert R.reviews_by_date_range(df, "a", start, "2024-01-02").count() == 1
+    with pytest.raises(ValueError):
+        R.reviews_by_date_range(df, "a", "someday", "2024-01-02")
+
+
+def test_csv_keeps_white_space_and_binds_by_header(spark, scratch):
+    from reviewlake.sources import files as FL
+
+    df = spark.createDataFrame([("  lead and trail  ", "x ", 3)], "a string, b string, n int")
+    path = scratch("csv")
+    FL.write_csv(df.select("n", "b", "a"), path)
+    other = "a string, b string, n int, gone string"
+    schema = spark.createDataFrame([], other).schema
+    assert [tuple(r) for r in FL.read_csv(spark, path, schema).collect()] == [("  lead and trail  ", "x ", 3, None)]

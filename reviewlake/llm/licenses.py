@@ -11,7 +11,7 @@ Everything happens inside the row: no join, no shuffle, no Python.
 
 Edge cases, all defined: null and empty texts have no sentence and no licence; texts are
 scanned whole; repeated rows are scanned once each; a sentence ends at . ! ? ; or : and
-white space, or at a line end unless the next line goes on in lower case; extra columns
+white space of any kind, or at a line end unless the next line goes on in lower case; extra columns
 are ignored.
 """
 
@@ -78,7 +78,7 @@ def pattern(rule: str) -> str:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_sentences, n_known, signs, licences): signs has a letter per known sentence in
     order, with the gaps between them; licences are joined by commas in rule order."""
-    marked = F.regexp_replace(F.col("t"), r"([.!?;:])[ \t]+", "$1\u0001")
+    marked = F.regexp_replace(F.col("t"), r"([.!?;:])[ \t\r\n]+", "$1\u0001")
     marked = F.regexp_replace(marked, r"[ \t\r]*\n+([^a-z]|\z)", "\u0001$1")
     cut = F.split(marked, "\u0001")
     clean = F.transform(cut, lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")))

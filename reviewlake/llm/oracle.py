@@ -37,7 +37,7 @@ JOIN cut c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 
 _SENTENCE = r"""
   SELECT doc_id, list_filter(list_transform(string_split(
-    regexp_replace(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t]+', '\1' || chr(1), 'g'), '[ \t\r]*\n+([^a-z]|\z)', chr(1) || '\1', 'g'), chr(1)),
+    regexp_replace(regexp_replace(coalesce(text, ''), '([.!?;:])[ \t\r\n]+', '\1' || chr(1), 'g'), '[ \t\r]*\n+([^a-z]|\z)', chr(1) || '\1', 'g'), chr(1)),
     lambda s: trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g'))), lambda s: s <> '') AS parts
   FROM documents"""
 

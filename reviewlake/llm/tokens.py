@@ -9,6 +9,7 @@ through the library whole.  Both ways give the library's ids.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -29,10 +30,27 @@ class WordIds:
     """Ids of texts as little-endian unsigned 32-bit buffers."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads would only wait for each other
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        vocab = self.tok.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn(self, words: list[str]) -> None:
+        """Puts the ids of ``words`` into the cache: one call for all, cut after each id that ends a pre-token."""
+        ids = self._ids(" ".join(words))
+        ends = (4 * (np.flatnonzero(self.last[ids]) + 1)).tolist()
+        if len(ends) != len(words):  # a file whose pre-tokens do not end so
+            self.cache.update((w, self._ids(w).tobytes()) for w in words)
+            return
+        buf = ids.tobytes()
+        self.cache.update((w, buf[s:e]) for w, s, e in zip(words, [0, *ends], ends, strict=False))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         if len(self.cache) > CACHE_WORDS:
@@ -42,13 +60,10 @@ class WordIds:
         ]
         cache = self.cache
         new = list({w for ws in cut if ws for w in ws if w not in cache})
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            for w, e in zip(part, self.tok.encode_batch(part, add_special_tokens=False), strict=True):
-                cache[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for at in range(0, len(new), 5000):
+            self._learn(new[at : at + 5000])
         return [
-            b"".join(map(cache.__getitem__, ws)) if ws is not None
-            else np.array(self.tok.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if t else b""
+            b"".join(map(cache.__getitem__, ws)) if ws is not None else self._ids(t).tobytes() if t else b""
             for ws, t in zip(cut, texts, strict=True)
         ]
 

@@ -50,17 +50,19 @@ def connected(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of an undirected edge list (columns ``a``, ``b``, any order).
 
     Alternates large-star and small-star steps (each edge is re-pointed to the
-    smallest neighbour) until nothing changes; every step is staged in the shared
+    smallest neighbour) until every tree is a star; every step is staged in the shared
     folder.  Returns (node, comp) for every node that has an edge, comp being the
     smallest node of its component.
     """
     e = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
 
-    def digest(x: DataFrame):
-        return x.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+    def open_nodes(x: DataFrame) -> int:
+        """Nodes that still have two smaller neighbours, or a smaller and a larger one; without any, all trees are stars."""
+        ends = x.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(x.select("b", F.lit(0), F.lit(1)))
+        by = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        return by.where("up > 1 OR (up = 1 AND down = 1)").count()
 
-    seen = digest(e)
-    while seen[0]:
+    while open_nodes(e):
         # large star: every larger neighbour of u is linked to the smallest of u's neighbourhood
         both = e.union(e.select(F.col("b"), F.col("a"))).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -76,10 +78,6 @@ def connected(edges: DataFrame, name: str = "cc") -> DataFrame:
             .distinct()
         )
         e = stage(small, name)
-        now = digest(e)
-        if now == seen:
-            break
-        seen = now
     return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
-        e.select(F.col("b").alias("node"), F.col("b").alias("comp"))
-    ).groupBy("node").agg(F.min("comp").alias("comp"))
+        e.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct()
+    )

@@ -144,7 +144,7 @@ def fingerprint_components(fps: DataFrame, max_bits: int = 4, segments: int = 3)
     near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= max_bits
 
     index = _tables(nodes, segments)
-    hubs = stage(index.groupBy("seg", "key").agg(F.min("fp").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "hubs")
+    hubs = index.groupBy("seg", "key").agg(F.min("fp").alias("other"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     stars = index.join(hubs, ["seg", "key"]).where((F.col("fp") != F.col("other")) & near)
     first = connected(stars.select(F.col("fp").alias("a"), F.col("other").alias("b")), "stars")
     nodes = stage(

@@ -50,7 +50,7 @@ def connected(edges: DataFrame, name: str = "cc") -> DataFrame:
     """Connected components of an undirected edge list (columns ``a``, ``b``, any order).
 
     Alternates large-star and small-star steps (each edge is re-pointed to the
-    smallest neighbour) until every tree is a star; every step is staged in the shared
+    smallest neighbour) until every tree is a star; every round is staged in the shared
     folder.  Returns (node, comp) for every node that has an edge, comp being the
     smallest node of its component.
     """
@@ -66,11 +66,8 @@ def connected(edges: DataFrame, name: str = "cc") -> DataFrame:
         # large star: every larger neighbour of u is linked to the smallest of u's neighbourhood
         both = e.union(e.select(F.col("b"), F.col("a"))).toDF("u", "v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = stage(
-            both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(),
-            name,
-        )
-        # small star: u and its smaller neighbours are linked to the smallest of them
+        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        # small star: u and its smaller neighbours are linked to the smallest of them (both uses of `large` share its shuffle)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

@@ -81,17 +81,22 @@ def batch_fingerprints(texts: list[bytes | None], k: int = 4, seed: int = 42) ->
     return np.packbits(2 * counts > totals[:, None], axis=1, bitorder="little").view(np.int64).reshape(-1)
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42) -> DataFrame:
-    """(id, fp long) for every row of ``docs``; one narrow pass, no shuffle."""
-    src = pick(docs, id_col, text_col).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("t"))
-    schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("fp", T.LongType())])
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, seed: int = 42, more: tuple[str, ...] = ()
+) -> DataFrame:
+    """(id, fp long, ``more`` columns) for every row of ``docs``; one narrow pass, no shuffle."""
+    src = pick(docs, id_col, text_col, *more).select(
+        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("t"), *more
+    )
+    schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("fp", T.LongType()), *[src.schema[m] for m in more]])
 
     def run(batches):
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
                 fp = batch_fingerprints(part.column(1).to_pylist(), shingle, seed)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp)], names=["id", "fp"])
+                rest = [part.column(2 + i) for i in range(len(more))]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fp), *rest], names=["id", "fp", *more])
 
     return src.mapInArrow(run, schema)
 
@@ -186,20 +191,33 @@ def simhash_components(
     return fps.join(by_fp, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+def _row_hash(docs: DataFrame, salt: int):
+    """64-bit hash of a whole row.  Spark's hash skips nulls, so what is null is hashed too."""
+    parts = []
+    for c, f in zip(docs.columns, docs.schema.fields, strict=True):
+        col = F.col(f"`{c}`")
+        nested = isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))
+        parts += [col.isNull(), F.to_json(col) if nested else col.cast("string")]
+    return F.xxhash64(F.lit(salt), *parts)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, max_bits: int = 4) -> DataFrame:
-    """``docs`` with exactly one row of each near-duplicate group: the smallest id; of
-    rows that repeat this id, the one with the smallest row hash.  Columns unchanged."""
-    comps = simhash_components(docs, id_col, text_col, shingle, max_bits).select(
-        F.col(f"`{id_col}`").alias("__id"), "component_id"
-    )
-    # a null id survives only where its whole component has none
-    keep = stage(
-        comps.where(F.col("__id").eqNullSafe(F.col("component_id"))).select("__id").distinct(), "keep"
-    )
-    rows = docs.join(keep, docs[f"`{id_col}`"].eqNullSafe(keep["__id"]), "left_semi")
-    row_hash = F.xxhash64(*[F.col(f"`{c}`").cast("string") if not isinstance(f.dataType, T.MapType) else F.to_json(F.col(f"`{c}`")) for c, f in zip(docs.columns, docs.schema.fields, strict=True)])
+    """``docs`` with exactly one row of each near-duplicate group: the smallest id (nulls
+    last); of rows that share this id, the one with the smallest row hash.  Columns unchanged.
+
+    A row is known by 128 bits of hash over all its columns, never by its id: ids may be
+    null or stand for several texts, and every group still keeps its own row.
+    """
+    hashed = docs.withColumns({"__a": _row_hash(docs, 1), "__b": _row_hash(docs, 2)})
+    fps = stage(fingerprints(hashed, id_col, text_col, shingle, more=("__a", "__b")), "fingerprints")
+    comps = fingerprint_components(fps, max_bits)
+    # the first row per fingerprint first, so that a hot group is one row before the components are joined
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "__a", "__b")
+    least = fps.groupBy("fp").agg(F.min(order).alias("least")).join(comps, "fp")
+    keep = stage(least.groupBy("comp").agg(F.min("least").alias("k")).select("k.__a", "k.__b"), "keep")
     from pyspark.sql.window import Window
 
-    # row_number() = 1 is limited map-side by Spark before the shuffle, so a hot id stays cheap
-    w = Window.partitionBy(f"`{id_col}`").orderBy("__h")
-    return rows.withColumn("__h", row_hash).withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__h", "__n")
+    # row_number() = 1 is limited map-side by Spark before the shuffle, so a row repeated many times stays cheap
+    w = Window.partitionBy("__a", "__b").orderBy(f"`{id_col}`")
+    once = hashed.withColumn("__n", F.row_number().over(w)).where("__n = 1")
+    return once.join(keep, ["__a", "__b"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

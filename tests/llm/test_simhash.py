@@ -57,6 +57,21 @@ def test_edges_nulls_ties_long_and_repeats(spark):
     assert simhash.simhash_components(df.limit(0)).count() == 0
 
 
+def test_keep_one_keeps_a_row_of_every_group(spark):
+    text = lambda n: " ".join(f"g{n}w{i}" for i in range(60))
+    rows = [(None, text(0), "x"), (None, text(1), None), (None, text(1), "y"), (None, text(2), "x"), (None, text(2), "x"),  # null ids only
+            (5, text(3), "x"), (5, text(4), "x"), (5, text(4), "x"),  # one id, two groups
+            (8, text(5), "x"), (None, text(5), "a"), (None, text(5), "b"), (3, text(6), "x"), (7, text(6), "x"),
+            (9, None, "q"), (None, "q", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = simhash.keep_one(df).collect()
+    assert sorted((r.text or "", r.doc_id is None, r.doc_id or 0) for r in got) == sorted(
+        [(text(0), True, 0), (text(1), True, 0), (text(2), True, 0), (text(3), False, 5), (text(4), False, 5),
+         (text(5), False, 8), (text(6), False, 3), ("", False, 9), ("q", True, 0)])
+    plan = simhash.keep_one(df)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
 def test_chains_and_large_groups_lose_no_link(spark):
     import random
 

@@ -23,6 +23,33 @@ def test_restore_undoes_disguises():
     assert r.features(None) == r.features(b"") == set()
 
 
+def test_every_disguise_enters_the_lattice():
+    words = "you are a the idiot stupid people went home with their trash and clown loser in a big class of an area " * 30
+    c = toxicity.CLASS[np.frombuffer(words.encode(), dtype=np.uint8)].astype(np.int64)
+    lm = toxicity.language_model(np.bincount((c[:-2] * 32 + c[1:-1]) * 32 + c[2:], minlength=32**3))
+    r, idiot = toxicity.Reader(lm), set(toxicity.word_features(b"idiot"))
+    for text in ("you are a i d i o t", "i d i o t a clown", "y o u i d i o t", "i  d  i  o  t", "i d\ni\r\nd o i d\ti o t", "idiiot", "id!ot", "idi0+", "1diot", "i.diot", "so idi-ot, you",
+                 "!diot", "x " * 60 + "i d i o t"):
+        assert idiot <= r.features(text.encode()), text
+    for text in ("you are a big class", "t h e", ""):
+        assert not idiot & r.features(text.encode())
+    assert toxicity.restore("the" * 15 + "idi0t" + "clown" * 20, lm.tolist()) == "the" * 15 + "idiot" + "clown" * 20
+
+
+def test_words_of_a_run_against_all_cuts():
+    words = "you are a idiot clown in the area of oui " * 9
+    c = toxicity.CLASS[np.frombuffer(words.encode(), dtype=np.uint8)].astype(np.int64)
+    lm = toxicity.language_model(np.bincount((c[:-2] * 32 + c[1:-1]) * 32 + c[2:], minlength=32**3)).tolist()
+    for run in (b"aidiot", b"youidiot", b"clowna", b"x"):
+        cuts = []
+        for mask in range(1 << len(run) - 1):
+            cut = b"".join(run[i : i + 1] + (b" " if mask >> i & 1 else b"") for i in range(len(run)))
+            k = toxicity.CLASS[np.frombuffer(b"  " + cut + b" ", dtype=np.uint8)]
+            cuts.append((sum(lm[x][y][z] for x, y, z in zip(k, k[1:], k[2:])), cut.split()))
+        best = max(cuts)[0]
+        assert set(toxicity.run_words(run, lm)) == {w for s, cut in cuts if s > best - toxicity.NEAR for w in cut}
+
+
 def test_toxicity_learns_and_rejects(spark):
     rows = [(i, ("plain words about the weather " * (1 + i % 5)) + ("grubblix " if i % 4 == 0 else "") + f"n{i}", i % 4 == 0) for i in range(400)]
     docs = spark.createDataFrame([(i, t, "en", 1.0, 3) for i, t, _ in rows] + [(900, None, "x", 0.0, 1), (901, "", None, 0.0, 1), (None, "gruuubblix", "x", 0.0, 1)],

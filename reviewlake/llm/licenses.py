@@ -7,6 +7,10 @@ sentences with at most ``GAP`` other sentences between neighbours; it is matched
 against the sign string.  A rule whose match is part of a longer rule's is dropped, so a
 header is not also reported by its first sentence alone.
 
+A notice may be wrapped, indented and commented.  Where the parts between line ends make up
+a known sentence together, they count as that sentence; to the rules, other parts between two
+sentence ends or blank lines are one sentence, and a list number is none.
+
 Everything happens inside the row: no join, no shuffle, no Python.
 
 Edge cases, all defined: null and empty texts have no sentence and no licence; texts are
@@ -75,21 +79,48 @@ def pattern(rule: str) -> str:
     return (r"\.{0,%d}" % GAP).join(rule)
 
 
+def spread(sentence: str) -> str:
+    """Matches a normalised sentence, whole or cut at line ends."""
+    return sentence.replace(" ", "[ \u0001]")
+
+
+def wrapped(sentence: str) -> str:
+    return "(?<=[\u0001\u0002])(?:%s)(?=[\u0001\u0002])" % sentence
+
+
+def joined(text):
+    """``text`` with every known sentence in one part; the longest first, as one may begin another."""
+    for s in sorted(KNOWN, key=len, reverse=True):
+        text = F.regexp_replace(text, wrapped(spread(s)), s)
+    return text
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_sentences, n_known, signs, licences): signs has a letter per known sentence in
     order, with the gaps between them; licences are joined by commas in rule order."""
-    marked = F.regexp_replace(F.col("t"), r"([.!?;:])[ \t\r\n]+", "$1\u0001")
+    # a comment mark that looks like a sentence end; then sentence ends and blank lines (2), other line ends (1)
+    marked = F.regexp_replace(F.col("t"), r"(\n[ \t]*)[;!]+(?=[ \t])", "$1#")
+    marked = F.regexp_replace(marked, r"([.!?;:])[ \t\r\n]+", "$1\u0002")
+    marked = F.regexp_replace(marked, r"[ \t\r]*\n[\s\p{Punct}]*\n", "\u0002")
     marked = F.regexp_replace(marked, r"[ \t\r]*\n+([^a-z]|\z)", "\u0001$1")
-    cut = F.split(marked, "\u0001")
-    clean = F.transform(cut, lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")))
+    clean = F.concat(F.lit("\u0002"), F.regexp_replace(F.lower(marked), "[^a-z0-9\u0001\u0002]+", " "), F.lit("\u0002"))
+    clean = F.regexp_replace(F.regexp_replace(clean, "[ \u0001]*\u0001[ \u0001]*", "\u0001"), "[ \u0001]?\u0002[ \u0001\u0002]*", "\u0002")
     known = F.create_map(*[F.lit(v) for kv in KNOWN.items() for v in kv])
-    sign = lambda s: F.coalesce(F.element_at(known, s), F.lit("."))
+    number = lambda s: F.when(s.rlike(r"^([0-9]{1,2}|[a-z]|[ivx]+)\z"), F.lit(",")).otherwise(F.lit("."))
+    sign = lambda s: F.coalesce(F.element_at(known, s), number(s))
+    signs = lambda s: F.array_join(F.transform(F.filter(F.split(s, "\u0001"), lambda x: x != ""), sign), "")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
-    rows = rows.select("id", F.array_join(F.transform(F.filter(clean, lambda s: s != ""), sign), "").alias("s"))
+    rows = rows.select("id", clean.alias("t"))
+    rows = rows.select("id", F.when(F.col("t").rlike(wrapped("|".join(map(spread, KNOWN)))), joined(F.col("t"))).otherwise(F.col("t")).alias("t"))
+    rows = rows.select("id", F.transform(F.split("t", "\u0002"), signs).alias("p"))
+    rows = rows.select(
+        "id", F.replace(F.array_join("p", ""), F.lit(","), F.lit(".")).alias("s"),
+        F.array_join(F.transform("p", lambda x: F.regexp_replace(F.replace(x, F.lit(","), F.lit("")), r"\.+", ".")), "").alias("rest"),
+    )
     # what a rule matches is taken out before the shorter rules look
     for i, (_, rule) in enumerate(RULES):
-        rows = rows.withColumn(f"r{i}", F.col("rest" if i else "s").rlike(pattern(rule)))
-        rows = rows.withColumn("rest", F.regexp_replace("rest" if i else "s", pattern(rule), "."))
+        rows = rows.withColumn(f"r{i}", F.col("rest").rlike(pattern(rule)))
+        rows = rows.withColumn("rest", F.regexp_replace("rest", pattern(rule), "."))
     licences = F.array_distinct(F.array(*[F.when(F.col(f"r{i}"), F.lit(n)) for i, (n, _) in enumerate(RULES)]))
     return rows.select(
         F.col("id").alias(id_col), F.length("s").cast("long").alias("n_sentences"),

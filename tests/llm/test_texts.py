@@ -136,6 +136,30 @@ def test_license_rules(spark):
     assert got == [(0, "Proprietary"), (1, ""), (2, ""), (3, ""), (3, "MIT"), (4, "Apache-2.0"), (5, "Apache-2.0,CC-BY-NC-4.0"), (6, "")]
 
 
+def test_wrapped_indented_and_commented_notices(spark):
+    import textwrap
+
+    S = licenses.SENTENCES
+    bsd = (S["p"], "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+           "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+           "documentation and/or other materials provided with the distribution.", "3. " + S["q"])
+    notices = {
+        "Apache-2.0": (f"{S['b']} {S['c']} {S['d']}", "http://www.apache.org/licenses/LICENSE-2.0", S["e"]),
+        "MIT": (S["h"], S["i"]), "GPL-3.0-or-later": (f"{S['k']} {S['l']}",), "BSD-3-Clause": bsd, "BSD-2-Clause": bsd[:3],
+    }
+    rows, want = [], {}
+    for name, paragraphs in notices.items():
+        for width in (40, 72):
+            for mark in ("", "    ", "\t", "# ", " * ", "// ", "; ", ";; ", "-- ", "! "):
+                body = [x for k, q in enumerate(paragraphs) for x in ([""] if k else []) + textwrap.wrap(q, width, subsequent_indent="    ", break_long_words=False)]
+                rows.append((len(rows), "\n".join((mark + x).rstrip() for x in ["Copyright 2020 Someone", "", *body, "", "int main() {}"])))
+                want[rows[-1][0]] = name
+    rows += [(1000, "Released under\n\nthe MIT License."), (1001, "Text of no end\n  Released under\n  the MIT License.\nMore"), (1002, "x\n" * 3000 + "All rights\n Reserved.")]
+    want |= {1000: "", 1001: "MIT", 1002: "Proprietary"}
+    got = {r.doc_id: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: r.licences for i, r in got.items()} == want
+
+
 def test_rollup_is_idempotent_and_additive(spark, scratch):
     r = rollup.TokenRollup(spark, scratch("rollup"))
     schema = "source string, lang string, tokenizer string, before long, after long"

@@ -36,7 +36,6 @@ from reviewlake.llm.common import crc_bucket, pick, stage
 CLASSES = 64  # text classes by hash of the class column; only those with training texts are used
 BLOCK_BYTES = 24 << 20  # of text; the words of a block and their counts are what a scoring task holds
 DISCOUNT = 0.75
-MAX_PIECE = 12  # bytes
 END = b""  # the end of a text, as a word: no real word is empty
 TINY = 1e-12
 
@@ -56,7 +55,7 @@ def vocabulary(path: str) -> Pieces:
         if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i):
             continue
         piece = sp.id_to_piece(i).replace("▁", "").encode().lower()
-        if 0 < len(piece) <= MAX_PIECE:
+        if piece:
             weight[piece] += 1.0 / (10.0 - min(sp.get_score(i), 0.0))
     return normalised(weight, 0.3)
 
@@ -73,9 +72,15 @@ def stop_share(pieces: Pieces) -> float:
     return 1 - math.fsum(pieces.values())
 
 
-def forward(word: bytes, get) -> float:
-    """log10 of the summed probability of all segmentations, rescaled as it goes."""
+def longest(pieces: Pieces) -> int:
+    return max(map(len, pieces))
+
+
+def forward(word: bytes, get, most: int | None = None) -> float:
+    """log10 of the summed probability of all segmentations, rescaled as it goes.
+    ``most``: the length of the longest piece, where known."""
     n = len(word)
+    most = most or n
     alpha = [0.0] * (n + 1)
     alpha[0], scale = 1.0, 0.0
     for i in range(n):
@@ -83,37 +88,65 @@ def forward(word: bytes, get) -> float:
         if a == 0.0:
             continue
         if a < 1e-200:  # only ever in words of many pieces
-            for j in range(i, min(n, i + MAX_PIECE) + 1):
+            for j in range(i, min(n, i + most) + 1):
                 alpha[j] *= 1e200
             a, scale = alpha[i], scale - 200.0
-        for j in range(i + 1, min(n, i + MAX_PIECE) + 1):
+        for j in range(i + 1, min(n, i + most) + 1):
             p = get(word[i:j])
             if p is not None:
                 alpha[j] += a * p
     return math.log10(alpha[n]) + scale
 
 
-def expected_pieces(word: bytes, get, into: dict) -> None:
-    """Adds the expected number of uses of each piece over all segmentations of ``word``."""
-    for at in range(0, len(word), 64):  # a longer word is counted in spans
-        span = word[at : at + 64]
-        n = len(span)
-        alpha, beta, edges = [0.0] * (n + 1), [0.0] * (n + 1), []
-        alpha[0] = beta[n] = 1.0
-        for i in range(n):
-            a = alpha[i]
-            for j in range(i + 1, min(n, i + MAX_PIECE) + 1):
-                s = span[i:j]
-                p = get(s)
+def expected_pieces(word: bytes, get, into: dict, most: int | None = None) -> None:
+    """Adds the expected number of uses of each piece over all segmentations of ``word``.
+
+    Both passes are rescaled as they go: ``up`` and ``down`` count the steps of 1e200 by place.
+    """
+    n = len(word)
+    most = most or n
+    alpha, beta, up, down = [0.0] * (n + 1), [0.0] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+    alpha[0] = beta[n] = 1.0
+    steps = 0
+    for i in range(n + 1):
+        if 0.0 < alpha[i] < 1e-200:
+            for j in range(i, min(n, i + most) + 1):
+                alpha[j] *= 1e200
+            steps += 1
+        up[i] = steps
+        a = alpha[i]
+        if a:
+            for j in range(i + 1, min(n, i + most) + 1):
+                p = get(word[i:j])
                 if p is not None:
                     alpha[j] += a * p
-                    edges.append((i, j, s, p))
-        for i, j, _, p in reversed(edges):
-            beta[i] += p * beta[j]
-        whole = alpha[n]
-        if whole > 0.0:
-            for i, j, s, p in edges:
-                into[s] = into.get(s, 0.0) + alpha[i] * p * beta[j] / whole
+    whole = alpha[n]
+    if whole <= 0.0:
+        return
+    steps = 0
+    for j in range(n, 0, -1):
+        low = max(0, j - most)
+        if 0.0 < beta[j] < 1e-200:
+            for i in range(low, j + 1):
+                beta[i] *= 1e200
+            steps += 1
+        down[j] = steps
+        b = beta[j]
+        if not b:
+            continue
+        for i in range(low, j):
+            s = word[i:j]
+            p = get(s)
+            if p is not None:
+                beta[i] += p * b
+                if alpha[i] > 0.0:
+                    shift = up[n] - up[i] - down[j]
+                    if up[n] or down[j]:  # a long word
+                        e = math.log10(alpha[i]) + math.log10(p) + math.log10(b) - math.log10(whole) + 200.0 * shift
+                        share = 10.0 ** min(e, 0.0) if e > -300.0 else 0.0
+                    else:
+                        share = alpha[i] * p * b / whole
+                    into[s] = into.get(s, 0.0) + share
 
 
 def words_of(text: bytes | None) -> list[bytes]:
@@ -202,10 +235,10 @@ def reweighted(words: DataFrame, pieces: Pieces) -> Pieces:
 
     def run(batches):
         into: dict[bytes, float] = {}
-        n, get = 0, box.value.get
+        n, get, most = 0, box.value.get, longest(box.value)
         for b in batches:
             for w in b.column(0).to_pylist():
-                expected_pieces(w, get, into)
+                expected_pieces(w, get, into, most)
                 n += 1
         yield pa.RecordBatch.from_arrays([pa.array([*into, END], pa.binary()), pa.array([*into.values(), float(n)])], names=["piece", "n"])
 
@@ -224,9 +257,9 @@ def _lattices(words: DataFrame, pieces: Pieces) -> DataFrame:
     schema = T.StructType([*words.schema.fields, T.StructField("sub", T.DoubleType())])
 
     def run(batches):
-        get, stop = box.value.get, math.log10(max(stop_share(box.value), TINY))
+        get, stop, most = box.value.get, math.log10(max(stop_share(box.value), TINY)), longest(box.value)
         for b in batches:
-            sub = [forward(w, get) + stop if w else stop for w in b.column(0).to_pylist()]
+            sub = [forward(w, get, most) + stop if w else stop for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sub, pa.float64())], names=[f.name for f in schema.fields])
 
     return words.mapInArrow(run, schema)

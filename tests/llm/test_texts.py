@@ -80,6 +80,31 @@ def test_lattice_sums_all_segmentations():
     assert lmscore.forward(b"a" * 5000, pieces.get) < -300  # far below the smallest double
 
 
+def test_long_pieces_and_long_words_count_whole():
+    pieces = lmscore.vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    most = lmscore.longest(pieces)
+    assert most > 12 and {b"international", b"implementation", b"infrastructure"} <= set(pieces)
+    assert math.isclose(lmscore.forward(b"internationals", pieces.get, most), lmscore.forward(b"internationals", pieces.get), rel_tol=1e-12)
+    small = lmscore.normalised({b"a": 3.0, b"b": 1.0, b"ab": 2.0, b"aba": 1.0, b"x" * 30: 0.5, b"x": 1e-9}, 0.25)
+
+    def uses(word):
+        if not word:
+            return [(1.0, ())]
+        return [(small[word[:n]] * q, (word[:n], *r)) for n in range(1, len(word) + 1) if word[:n] in small for q, r in uses(word[n:])]
+
+    got, want = {}, {}
+    lmscore.expected_pieces(b"abababab", small.get, got, lmscore.longest(small))
+    total = math.fsum(q for q, _ in uses(b"abababab"))
+    for q, cut in uses(b"abababab"):
+        for x in cut:
+            want[x] = want.get(x, 0.0) + q / total
+    assert got.keys() == want.keys() and all(math.isclose(got[x], want[x], rel_tol=1e-9) for x in want)
+    for word, cut in ((b"z" * 50 + b"x" * 30 + b"z" * 50, b"x" * 30), (b"z" * 5000 + b"x" * 30 + b"z" * 5000, b"x" * 30)):
+        got = {}
+        lmscore.expected_pieces(word, small.get, got, 30)  # far below the smallest double
+        assert math.isclose(got[cut], 1.0, rel_tol=1e-3) and math.isclose(got[b"z"], word.count(b"z"), rel_tol=1e-6)
+
+
 def test_lm_base_scores_by_brute_force(spark):
     from zlib import crc32
 

@@ -1,8 +1,8 @@
 """Raw feed views derived from the driver tables (the engine's test input).
 
 ``raw_reviews`` turns ``events`` (+ ``documents`` prose) into a dirty review
-feed with every trap the cleaner must handle: every document is the text of some
-reviews, whole.  ``raw_apps`` turns every ``part`` row into app metadata.  The same derivation exists as SQL text in
+feed with every trap the cleaner must handle: documents are the texts of reviews, whole,
+except those that only meet events whose text is replaced (see the README).  ``raw_apps`` turns every ``part`` row into app metadata.  The same derivation exists as SQL text in
 ``reviewlake.oracle_sql`` for the independent DuckDB check.
 
 Fixed values (the dirt patterns, chosen once for the fixture):

@@ -90,7 +90,8 @@ def permutation_search(
             x = unit(np.array([xs[i] for i in at]))
             first = np.array([ids[i][0] for i in at])
             own = [p for p in sample if len(p) == d]
-            index = PermutationBlock(x, unit(np.array(own)), prefix) if own else None
+            # a length with fewer pivots than a prefix has no order to tell its vectors apart: all are reranked
+            index = PermutationBlock(x, unit(np.array(own)), prefix) if len(own) >= min(prefix, pivots) else None
             most = max(least, int(np.ceil(share * len(x))))
             for i in mine:
                 q = unit(qs[i][None])[0]

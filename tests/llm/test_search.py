@@ -79,3 +79,20 @@ def test_footrule_is_the_footrule():
     a = place(order[0])
     want = [sum(abs(a.get(p, 5) - place(o).get(p, 5)) for p in {*a, *o}) for o in order]
     assert b.footrule(x[0]).tolist() == want
+
+
+def test_rare_length_is_searched_whole(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from reviewlake.llm import ann
+
+    rnd = np.random.default_rng(5)
+    rows = [(i, rnd.normal(size=8).tolist()) for i in range(3000)] + [(10_000 + i, rnd.normal(size=6).tolist()) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.permutation_search(df, F.col("id").isin(*range(10_000, 10_020)), pivots=40, prefix=20, share=0.05, least=10).collect()
+    x = np.array([v for i, v in rows if i >= 10_000])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for q in range(20):
+        near = [int(n) for n in np.argsort(-(x @ x[q])) if n != q][:5]
+        assert [r.vec_id - 10_000 for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 10_000 + q] == near

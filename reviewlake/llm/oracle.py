@@ -96,3 +96,78 @@ s AS (
 SELECT query_id, rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) WHERE rank <= 20
 """
+
+# Every phrase is counted, frequent or not.
+ORACLE["op11_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+total AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*)::BIGINT AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cut AS (
+  SELECT lang, phrase, a, i, array_to_string(ws[1:i], ' ') AS lp, array_to_string(ws[i + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, k)) AS i FROM c)),
+cuts AS (
+  SELECT t.lang, t.phrase, t.a, t.i, l.a AS l, r.a AS r, (2000000::HUGEINT * t.a) // (l.a + r.a) AS score
+  FROM cut t JOIN f l ON l.lang = t.lang AND l.phrase = t.lp JOIN f r ON r.lang = t.lang AND r.phrase = t.rp),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2)) GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN total USING (lang)
+WHERE rank <= 2000
+"""
+
+# Shared shingles are counted per pair of documents; components are the closure of the links.
+ORACLE["op12_jaccard_join"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) END AS g FROM d),
+g AS (SELECT r, len(g) AS n, unnest(g) AS gram FROM s),
+links AS (
+  SELECT a.r AS x, b.r AS y FROM g a JOIN g b USING (gram) WHERE a.r <> b.r
+  GROUP BY a.r, b.r, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach(x, y) AS (SELECT r, r FROM s UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+least AS (SELECT reach.x AS r, min(s.doc_id) AS component_id FROM reach JOIN s ON s.r = reach.y GROUP BY reach.x)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id FROM s JOIN least USING (r)
+"""
+
+
+def _centroid_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    near = f"""
+  SELECT vec_id, q, arg_min(j, dist * {k} + j) AS cluster, min(dist) AS distance FROM (
+    SELECT v.r, v.vec_id, v.q, c.j, list_sum(list_transform(list_zip(v.q, c.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::HUGEINT AS dist FROM v, c{{i}} c)
+  GROUP BY r, vec_id, q"""
+    steps = [
+        f"""a{i} AS MATERIALIZED ({near.format(i=i)}),
+m{i} AS (SELECT cluster, pos, sum(x) AS total, count(*) AS n FROM (SELECT cluster, unnest(q) AS x, generate_subscripts(q, 1) AS pos FROM a{i}) GROUP BY cluster, pos),
+n{i} AS (SELECT cluster, list((total - ((total % n) + n) % n) // n ORDER BY pos)::BIGINT[] AS q FROM m{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (SELECT c.j, coalesce(n.q, c.q) AS q FROM c{i} c LEFT JOIN n{i} n ON n.cluster = c.j)"""
+        for i in range(rounds)
+    ]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, q) - 1 AS j, q FROM (
+    SELECT sha256('2:' || vec_id) AS h, q FROM v WHERE vec_id IS NOT NULL ORDER BY h, q LIMIT {k})),
+{", ".join(steps)},
+z AS MATERIALIZED ({near.format(i=rounds)})
+SELECT vec_id, cluster::INTEGER AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM z JOIN c{rounds} c ON c.j = z.cluster"""
+
+
+ORACLE["op13_centroids"] = _centroid_sql()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewlake.llm import ann, chat, licenses, lmscore, mixing, packing, rollup, simhash, topk, toxicity
+from reviewlake.llm import ann, centroids, chat, collocations, jaccard, licenses, lmscore, mixing, packing, rollup, simhash, topk, toxicity
 from reviewlake.llm.common import crc_bucket, shared_dir, stage, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -91,6 +91,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return c.select("doc_id", "n_shingles", "component_id")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_permutation_search": op1_permutation_search,
     "op2_threshold_topk": op2_threshold_topk,
@@ -102,4 +115,7 @@ Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm_scores": op8_lm_scores,
     "op9_token_rollup": op9_token_rollup,
     "op10_simhash": op10_simhash,
+    "op11_collocations": op11_collocations,
+    "op12_jaccard_join": op12_jaccard_join,
+    "op13_centroids": op13_centroids,
 }

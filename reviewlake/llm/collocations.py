@@ -1,20 +1,20 @@
 """Phrase collocation mining with HAT-trie counting.
 
 Texts are cut into pieces and words; phrases never cross a piece, counts are per language.
-A task counts phrases in a HAT-trie: a shallow trie over word ids (word 1 at the root)
-whose leaves are hash containers of the remaining word ids.  A container that grows past
-``BURST`` entries bursts into sixteen containers by the next digit of the next word id.  When
-all containers together pass ``ENTRIES``, the largest subtrees are spilled whole, as
-sorted runs; the rest goes on counting, and what is left at the end is spilled too.
-Spark merges the runs per prefix partition: runs are dealt by a phrase's first words and
-equal phrases are added up there.  Memory per task is bounded, and a phrase that fills a
-third of all texts is a few rows per task.
-
-Two passes.  The first counts words and pairs by a 64-bit hash.  A phrase can only reach the
-least count if all its words and neighbouring pairs do, so what reaches it marks a bit set (its
-size follows the number of marks up to ``MOST_BITS``), and the second pass counts,
-exactly and by text, only the phrases whose pairs are marked.  A false mark costs time,
-never a result: the exact counts decide.
+A task counts phrases in a HAT-trie: a shallow trie over the digits of word ids whose leaves
+are hash containers of the remaining word ids.  A container that grows past ``BURST`` entries
+bursts into sixteen by the next digit.  When all containers together pass ``ENTRIES``, the largest
+subtrees are spilled whole, as sorted runs; the rest goes on counting, and what is left at
+the end is spilled too.  Spark merges the runs per prefix partition: runs are dealt by a
+phrase's first words (in the passes by hash, by that) and equal phrases are added up there.
+Memory per task is bounded, and a phrase that fills a third of all texts is a few rows per task.
+
+Three passes.  A phrase can only reach the least count if every shorter phrase inside it
+does.  The first pass counts words and pairs by a 64-bit hash, the second so counts the
+phrases of three words whose pairs have reached it; what reaches it marks a bit set each
+time (its size follows the number of marks up to ``MOST_BITS``).  The third counts, exactly and by text,
+the phrases all of whose parts are marked.  A false mark costs time, never a result: the
+exact counts decide.
 
 Scores, drops and ranks are DataFrame joins on the frequent phrases only.
 
@@ -25,9 +25,10 @@ chunks, cut between words); repeated rows count again; ids are not needed, and e
 
 from __future__ import annotations
 
+import operator
 import re
 from collections import defaultdict
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -59,41 +60,44 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 class HatTrie:
-    """Counts per (word 1, packed further word ids)."""
+    """Counts per phrase.  A phrase is one integer, its word ids packed with word 1 lowest, so
+    that the trie's digits run through the first word's id, then the second's.  The root has
+    256 subtrees; every other inner node has sixteen."""
 
     def __init__(self, burst: int = BURST):
-        self.burst, self.root, self.size, self.entries = burst, {}, defaultdict(int), 0
-
-    def add(self, first: int, rest: list[int], counts: list[int]) -> None:
-        """Adds counts of distinct ``rest`` under word ``first``."""
-        node = self.root.get(first)
-        if node is None:
-            node = self.root[first] = {}
-        new = self._into(node, rest, counts)
-        if type(node) is dict and len(node) > self.burst:
-            self.root[first] = self._split(node)
-        self.size[first] += new
-        self.entries += new
-
-    def _into(self, node, rest: list[int], counts: list[int]) -> int:
+        self.burst, self.root, self.size = burst, [{} for _ in range(256)], [0] * 256
+
+    @property
+    def entries(self) -> int:
+        return sum(self.size)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Adds the counts of distinct packed phrases."""
+        for i, k, n in self._deal(keys, counts, 8):
+            new = self._into(self.root[i], k, n)
+            if type(self.root[i]) is dict and len(self.root[i]) > self.burst:
+                self.root[i] = self._split(self.root[i])
+            self.size[i] += new
+
+    @staticmethod
+    def _deal(keys: np.ndarray, counts: np.ndarray, bits: int):
+        digit = (keys & ((1 << bits) - 1)).astype(np.int64)
+        order = np.argsort(digit, kind="stable")
+        digit, keys, counts = digit[order], keys[order] >> bits, counts[order]
+        edges = np.flatnonzero(np.diff(digit, prepend=-1, append=-1)).tolist()
+        for s, e in zip(edges, edges[1:], strict=False):
+            yield int(digit[s]), keys[s:e], counts[s:e]
+
+    def _into(self, node, keys: np.ndarray, counts: np.ndarray) -> int:
         if type(node) is dict:
-            before, get = len(node), node.get
-            for r, n in zip(rest, counts, strict=True):
-                node[r] = get(r, 0) + n
+            before, k = len(node), keys.tolist()
+            node.update(zip(k, map(operator.add, map(node.get, k, repeat(0)), counts.tolist()), strict=True))
             return len(node) - before
         new = 0
-        for r, n in zip(rest, counts, strict=True):
-            at, down = node, r
-            while type(box := at[down & 15]) is list:
-                at, down = box, down >> DIGIT
-            low, down = down & 15, down >> DIGIT
-            if down in box:
-                box[down] += n
-            else:
-                box[down] = n
-                new += 1
-                if len(box) > self.burst:
-                    at[low] = self._split(box)
+        for i, k, n in self._deal(keys, counts, DIGIT):
+            new += self._into(node[i], k, n)
+            if type(node[i]) is dict and len(node[i]) > self.burst:
+                node[i] = self._split(node[i])
         return new
 
     @staticmethod
@@ -103,41 +107,41 @@ class HatTrie:
             out[r & 15][r >> DIGIT] = n
         return out
 
-    def _walk(self, node, low: int, bits: int):
+    def _walk(self, node, low: int, bits: int, wide: bool):
         if type(node) is dict:
-            keys = np.fromiter(node.keys(), np.int64, len(node))
-            yield (keys << bits) | low, np.fromiter(node.values(), np.int64, len(node))
+            if node:
+                keys = np.fromiter(node.keys(), object if wide else np.int64, len(node))
+                yield (keys << bits) | low, np.fromiter(node.values(), np.int64, len(node))
         else:
             for i, child in enumerate(node):
-                yield from self._walk(child, low | i << bits, bits + DIGIT)
+                yield from self._walk(child, low | i << bits, bits + DIGIT, wide)
 
-    def spill(self, keep: int = 0):
+    def spill(self, keep: int = 0, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Takes whole subtrees out, largest first, until at most ``keep`` entries are left:
-        (word 1, further ids, counts) as one run, sorted by the ids."""
-        firsts, rests, counts = [], [], []
-        for first in sorted(self.size, key=self.size.__getitem__, reverse=True):
-            if self.entries <= keep:
+        (packed phrases, counts).  ``wide``: the phrases may pass 63 bits."""
+        found = []
+        left = self.entries
+        for i in sorted(range(256), key=self.size.__getitem__, reverse=True):
+            if left <= keep:
                 break
-            for r, n in self._walk(self.root.pop(first), 0, 0):
-                firsts.append(np.full(len(r), first))
-                rests.append(r)
-                counts.append(n)
-            self.entries -= self.size.pop(first)
-        if not firsts:
-            return (np.empty(0, np.int64),) * 3
-        f, r, n = np.concatenate(firsts), np.concatenate(rests), np.concatenate(counts)
-        order = np.lexsort((r, f))
-        return f[order], r[order], n[order]
+            found += self._walk(self.root[i], i, 8, wide)
+            left -= self.size[i]
+            self.root[i], self.size[i] = {}, 0
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate([k for k, _ in found]), np.concatenate([n for _, n in found])
 
 
 class PhraseCounter:
     """A task's tries, one per language, with one vocabulary.
 
-    Without ``marks`` words and pairs are counted; with them phrases of up to four words
-    whose pairs are all marked, and the words of each language.  ``out`` gets the runs.
+    ``marks`` are the bit sets of the passes before.  Without any, words and pairs are
+    counted by hash; with the first, phrases of three words whose pairs are marked; with both,
+    phrases of one to four words by text whose pairs and threes are all marked, and the
+    words of each language.  ``out`` gets the runs.
     """
 
-    def __init__(self, marks: np.ndarray | None, entries: int = ENTRIES, burst: int = BURST, vocabulary: int = VOCABULARY, chunk: int = CHUNK):
+    def __init__(self, marks: list[np.ndarray], entries: int = ENTRIES, burst: int = BURST, vocabulary: int = VOCABULARY, chunk: int = CHUNK):
         self.marks, self.limit, self.burst, self.most_words, self.chunk = marks, entries, burst, vocabulary, chunk
         self.tries: dict[str, HatTrie] = {}
         self.words: dict[str, int] = defaultdict(int)
@@ -190,7 +194,7 @@ class PhraseCounter:
         self._grams(lang, a, len(carry))
         while sum(t.entries for t in self.tries.values()) > self.limit:
             largest = max(self.tries, key=lambda x: self.tries[x].entries)
-            self._emit(largest, self.tries[largest].spill(self.tries[largest].entries // 2))
+            self._emit(largest, self.tries[largest].entries // 2)
         if len(self.ids) > self.most_words:
             self._flush()
             self._new_vocabulary()
@@ -199,39 +203,34 @@ class PhraseCounter:
         """Counts the phrases of the ids ``a`` that end after the first ``carried`` ones."""
         trie = self.tries.setdefault(lang, HatTrie(self.burst))
         word = a > 0
-        if self.marks is None:
-            ok = [word, word[:-1] & word[1:]]
+        if not self.marks:
+            ok = {1: word, 2: word[:-1] & word[1:]}
         else:
-            self.words[lang] += int(word[carried:].sum())
             h = self._hash(lang, a)
             h2 = self._next(h[:-1], a[1:])
-            pair = word[:-1] & word[1:] & self._marked(h2)
+            pair = word[:-1] & word[1:] & self._marked(h2, 0)
             three = pair[:-1] & pair[1:]
-            ok = [word & self._marked(h), pair, three, three[:-1] & three[1:]]
-        for k, good in enumerate(ok, 1):
+            if len(self.marks) == 1:
+                ok = {3: three}
+            else:
+                self.words[lang] += int(word[carried:].sum())
+                at = np.flatnonzero(three)
+                three[at] = self._marked(self._next(h2[at], a[at + 2]), 1)
+                ok = {1: word & self._marked(h, 0), 2: pair, 3: three, 4: three[:-1] & three[1:]}
+        for k, good in ok.items():
             i = np.flatnonzero(good)
             i = i[i + k > carried]
-            if not len(i):
-                continue
-            if k < LONGEST:
+            if len(i):
                 key = a[i]
-                for j in range(1, k):
-                    key = key << ID_BITS | a[i + j]
-                u, n = np.unique(key, return_counts=True)
-                first = u >> (ID_BITS * (k - 1))
-                ids = [u >> (ID_BITS * (k - 1 - j)) & ID for j in range(1, k)]
-            else:  # four ids pass 64 bits: number the first three
-                three_ids, number = np.unique((a[i] << ID_BITS | a[i + 1]) << ID_BITS | a[i + 2], return_inverse=True)
-                u, n = np.unique(number << ID_BITS | a[i + 3], return_counts=True)
-                lead = three_ids[u >> ID_BITS]
-                first, ids = lead >> (2 * ID_BITS), [lead >> ID_BITS & ID, lead & ID, u & ID]
-            rest = np.zeros(len(u), np.int64)
-            for j, x in enumerate(ids):
-                rest |= x << (ID_BITS * j)
-            edges = np.flatnonzero(np.diff(first, prepend=-1, append=-1))
-            rest, n = rest.tolist(), n.tolist()
-            for w, s, e in zip(first[edges[:-1]].tolist(), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                trie.add(w, rest[s:e], n[s:e])
+                for j in range(1, min(k, 3)):
+                    key = key | a[i + j] << (ID_BITS * j)
+                if k == LONGEST:  # four ids pass 64 bits: number the first three
+                    lead, number = np.unique(key, return_inverse=True)
+                    u, n = np.unique(number << ID_BITS | a[i + 3], return_counts=True)
+                    key = lead[u >> ID_BITS].astype(object) | (u & ID).astype(object) << (3 * ID_BITS)
+                else:
+                    key, n = np.unique(key, return_counts=True)
+                trie.add(key, n)
 
     def _hash(self, lang: str, ids: np.ndarray) -> np.ndarray:
         return _mix(self.hashes[ids] + np.uint64(xxhash.xxh64_intdigest(lang.encode(), 5)))
@@ -239,27 +238,32 @@ class PhraseCounter:
     def _next(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return _mix(h * np.uint64(0x9E3779B97F4A7C15) + self.hashes[ids])
 
-    def _marked(self, h: np.ndarray) -> np.ndarray:
-        slot = h & np.uint64(64 * len(self.marks) - 1)
-        return (self.marks[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    def _marked(self, h: np.ndarray, level: int) -> np.ndarray:
+        marks = self.marks[level]
+        slot = h & np.uint64(64 * len(marks) - 1)
+        return (marks[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-    def _emit(self, lang: str, run: tuple[np.ndarray, np.ndarray, np.ndarray]) -> None:
-        first, rest, n = run
+    def _emit(self, lang: str, keep: int = 0) -> None:
+        """Spills a language's trie as a sorted run: by hash, or by phrase."""
+        exact = len(self.marks) == 2
+        keys, n = self.tries[lang].spill(keep, wide=exact)
         if not len(n):
             return
-        if self.marks is None:
-            second = rest & ID
-            h = self._hash(lang, first)
-            h = np.where(second > 0, self._next(h, second), h).view(np.int64)
+        if not exact:
+            h = self._hash(lang, keys & ID)
+            for j in (1, 2):
+                ids = keys >> (ID_BITS * j) & ID
+                h = np.where(ids > 0, self._next(h, ids), h)
+            h = h.view(np.int64)
             order = np.argsort(h)
             self.out.append(pa.RecordBatch.from_arrays([pa.array(h[order]), pa.array(n[order])], names=["h", "n"]))
             return
         rows = []
-        for f, r, c in zip(first.tolist(), rest.tolist(), n.tolist(), strict=True):
-            ws = [self.by_id[f]]
-            while r:
-                ws.append(self.by_id[r & ID])
-                r >>= ID_BITS
+        for key, c in zip(keys.tolist(), n.tolist(), strict=True):
+            ws = []
+            while key:
+                ws.append(self.by_id[key & ID])
+                key >>= ID_BITS
             rows.append((b" ".join(ws), b" ".join(ws[:2]), len(ws), c))
         rows.sort()
         phrase, prefix, k, c = zip(*rows, strict=True)
@@ -270,25 +274,25 @@ class PhraseCounter:
         self.out.append(pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), text(prefix), text(phrase), pa.array(k, pa.int32()), pa.array(n, pa.int64())], names=["lang", "prefix", "phrase", "k", "n"]))
 
     def _flush(self) -> None:
-        for lang, trie in self.tries.items():
-            self._emit(lang, trie.spill())
+        for lang in self.tries:
+            self._emit(lang)
 
     def close(self) -> None:
         for lang in self.held:
             self._count(lang)
         self._flush()
-        if self.marks is not None and self.words:
+        if self.words:
             self._rows(list(self.words), [b""] * len(self.words), [b""] * len(self.words), [0] * len(self.words), list(self.words.values()))
 
 
-def _pass(docs: DataFrame, lang_col: str, text_col: str, marks, schema: str, limits: dict) -> DataFrame:
+def _pass(docs: DataFrame, lang_col: str, text_col: str, marks: list, schema: str, limits: dict) -> DataFrame:
     src = pick(docs, text_col, lang_col).select(
         F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).cast("binary").alias("t"),
     )
 
     def run(batches):
-        counter = PhraseCounter(marks.value if marks is not None else None, **limits)
+        counter = PhraseCounter([m.value for m in marks], **limits)
         for b in batches:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("t"), strict=True):
                 counter.feed(lang, text.as_py())
@@ -304,7 +308,7 @@ def _pass(docs: DataFrame, lang_col: str, text_col: str, marks, schema: str, lim
 def _marks(frequent: DataFrame) -> np.ndarray:
     bits = 1 << 16
     n = frequent.count()
-    while bits < min(8 * n, MOST_BITS):
+    while bits < min(16 * n, MOST_BITS):
         bits *= 2
     slot = F.col("h").bitwiseAND(F.lit(bits - 1))
     words = frequent.select(F.shiftright(slot, 6).cast("int").alias("w"), F.expr("shiftleft(1L, cast(h & 63L as int))").alias("bit"))
@@ -317,9 +321,11 @@ def _marks(frequent: DataFrame) -> np.ndarray:
 def frequent_phrases(docs: DataFrame, least: int = 30, lang_col: str = "lang", text_col: str = "text", **limits) -> DataFrame:
     """(lang, phrase, k, n): exact counts of every phrase of one to four words that occurs at
     least ``least`` times in its language, and with k = 0 the words of each language."""
-    pairs = _pass(docs, lang_col, text_col, None, "h long, n long", limits)
-    frequent = stage(pairs.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h"), "pairs")
-    marks = docs.sparkSession.sparkContext.broadcast(_marks(frequent))
+    marks = []
+    for level in ("pairs", "threes"):
+        counted = _pass(docs, lang_col, text_col, list(marks), "h long, n long", limits).groupBy("h").agg(F.sum("n").alias("n"))
+        frequent = stage(counted.where(F.col("n") >= least).select("h"), level)
+        marks.append(docs.sparkSession.sparkContext.broadcast(_marks(frequent)))
     runs = _pass(docs, lang_col, text_col, marks, "lang string, prefix string, phrase string, k int, n long", limits)
     merged = runs.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase", "k").agg(F.sum("n").alias("n"))
     return stage(merged.where((F.col("k") == 0) | (F.col("n") >= least)).select("lang", "phrase", "k", "n"), "phrases")

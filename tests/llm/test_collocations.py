@@ -2,6 +2,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from reviewlake.llm import collocations as C
@@ -80,19 +81,16 @@ def test_trie_bursts_and_spills_whole_subtrees():
     rng = random.Random(2)
     want = Counter()
     for _ in range(400):
-        first = rng.randrange(1, 6)
-        rest = {rng.randrange(1 << rng.randrange(1, 62)): rng.randrange(1, 9) for _ in range(10)}
-        t.add(first, list(rest), list(rest.values()))
-        for r, n in rest.items():
-            want[first, r] += n
-    assert any(type(x) is list for x in t.root.values()) and t.entries == len(want)
-    some = t.spill(t.entries // 2)
-    gone = set(some[0].tolist())
-    assert 0 < len(gone) < 5 and not gone & set(t.root) and t.entries == len(want) - len(some[0])
-    rest = t.spill()
+        add = {rng.choice([3, 515, 7, 1 << 80]) + (rng.randrange(1 << rng.randrange(1, 50)) << 8): rng.randrange(1, 9) for _ in range(10)}
+        t.add(np.array(list(add), dtype=object), np.array(list(add.values())))
+        want.update(add)
+    assert any(type(x) is list for x in t.root) and t.entries == len(want)
+    some = t.spill(t.entries // 2, wide=True)
+    gone = {k & 255 for k in some[0].tolist()}
+    assert 0 < len(gone) < len({k & 255 for k in want}) and all(not t.root[i] for i in gone) and t.entries == len(want) - len(some[0])
+    rest = t.spill(wide=True)
     have = Counter()
-    for f, r, n in (some, rest):
-        assert list(zip(f, r, strict=True)) == sorted(zip(f, r, strict=True))
-        for x, y, z in zip(f.tolist(), r.tolist(), n.tolist(), strict=True):
-            have[x, y] += z
-    assert have == want and t.entries == 0 and not t.root
+    for keys, n in (some, rest):
+        for k, c in zip(keys.tolist(), n.tolist(), strict=True):
+            have[k] += c
+    assert have == want and t.entries == 0

@@ -542,3 +542,43 @@ SELECT run_id, app_id, 'incremental' AS mode, CASE WHEN fetched = 0 THEN 'failed
     CASE WHEN prev_id IS NOT NULL AND fetched = 0 AND prev_f > 0 THEN 'zero_fetched_after_nonzero_baseline' END],
     lambda x: x IS NOT NULL), ',') AS anomaly_list
 FROM mon""")
+
+# ---------------------------------------------------------------- incremental run with the tables' promises
+# accepted: the first copy in feed order among those whose app is stored; orphans: every copy whose app is not
+_CHECKED = with_(*INC, *APPS, """known AS (SELECT * FROM cb WHERE app_id IN (SELECT app_id FROM apps)),
+acc AS (SELECT * FROM known QUALIFY row_number() OVER (PARTITION BY reviewId ORDER BY batch_no, arrival_seq) = 1),
+orph AS (SELECT * FROM cb WHERE app_id NOT IN (SELECT app_id FROM apps)),
+pb AS (SELECT f.batch_no, fetched_count, coalesce(cleaned_count, 0) AS cleaned_count, coalesce(inserted_count, 0) AS inserted_count,
+    coalesce(orphan_count, 0) AS orphan_count
+  FROM (SELECT batch_no, count(*) AS fetched_count FROM raw_batched GROUP BY 1) f
+  LEFT JOIN (SELECT batch_no, count(*) AS cleaned_count FROM cb GROUP BY 1) c USING (batch_no)
+  LEFT JOIN (SELECT batch_no, count(*) AS inserted_count FROM acc GROUP BY 1) i USING (batch_no)
+  LEFT JOIN (SELECT batch_no, count(*) AS orphan_count FROM orph GROUP BY 1) p USING (batch_no))""")
+o("stream_quarantine", _CHECKED + """SELECT reviewId AS review_id, app_id, score, batch_no, arrival_seq, 'orphan_app' AS reject_reason FROM orph""")
+o("stream_readmission", _CHECKED + """, late AS (
+  SELECT * FROM orph WHERE reviewId NOT IN (SELECT reviewId FROM acc)
+  QUALIFY row_number() OVER (PARTITION BY reviewId ORDER BY batch_no, arrival_seq) = 1),
+""" + reviews_cte("r1", "acc") + ",\n" + reviews_cte("r2", "late", RUN_TS2) + "\nSELECT * FROM r1 UNION ALL SELECT * FROM r2")
+o("stream_max_batches", _CHECKED + """SELECT CASE WHEN batch_no = (SELECT min(batch_no) FROM pb) THEN 'run-1' ELSE 'run-2' END AS run_id,
+  batch_no, fetched_count, cleaned_count, inserted_count, orphan_count FROM pb""")
+o("stream_events", _CHECKED + """SELECT 'run-1' AS run_id, batch_no, CASE WHEN cleaned_count = 0 THEN 'batch_clean_empty' ELSE 'batch_processed' END AS event,
+  inserted_count, CAST(NULL AS BIGINT) AS readmitted_count FROM pb
+UNION ALL SELECT 'run-1', batch_no, 'batch_insert_failed', inserted_count, NULL FROM pb WHERE cleaned_count > 0 AND inserted_count = 0
+UNION ALL SELECT 'run-2', batch_no, 'orphans_readmitted', NULL, orphan_count FROM pb WHERE orphan_count > 0""")
+o("failed_run_history", _CHECKED.replace("raw_batched AS (SELECT *, ", "raw_batched AS (SELECT * FROM (SELECT *, ").replace(
+    "AS batch_no FROM raw_reviews)", "AS batch_no FROM raw_reviews) WHERE batch_no > 0)") + """, per AS (
+  SELECT coalesce(a.app_id, f.app_id) AS app_id, coalesce(f.n, 0) AS fetched, coalesce(f.b, 0) AS batches, coalesce(i.n, 0) AS inserted
+  FROM apps a FULL JOIN (SELECT app_id, count(*) AS n, count(DISTINCT batch_no) AS b FROM raw_batched GROUP BY 1) f ON a.app_id = f.app_id
+  LEFT JOIN (SELECT app_id, count(*) AS n FROM acc GROUP BY 1) i ON i.app_id = coalesce(a.app_id, f.app_id)),
+h AS (
+  SELECT 'run-1' AS run_id, app_id, CASE WHEN fetched = 0 THEN 'failed' ELSE 'success' END AS status, true AS fetch_app_info, batches, fetched, inserted,
+    CASE WHEN fetched = 0 THEN 'fetch_reviews' END AS error_stage, CASE WHEN fetched = 0 THEN 'No reviews fetched' END AS error_kind, 0 AS pf, 0 AS pi
+  FROM per
+  UNION ALL SELECT 'run-2', app_id, 'failed', false, 0, 0, 0, 'fetch_reviews', 'LateBatch', fetched, inserted FROM per WHERE app_id IN (SELECT app_id FROM apps))
+SELECT run_id, app_id, status, fetch_app_info, CAST(batches AS BIGINT) AS batches_processed, CAST(fetched AS BIGINT) AS total_reviews_fetched,
+  CAST(inserted AS BIGINT) AS total_reviews_inserted, error_stage, error_kind,
+  array_to_string(list_filter([CASE WHEN status = 'failed' THEN 'run_failed' END,
+    CASE WHEN pf > 0 AND fetched <= 0.2 * pf THEN 'material_fetched_drop' END, CASE WHEN pi > 0 AND inserted <= 0.2 * pi THEN 'material_inserted_drop' END,
+    CASE WHEN inserted = 0 AND pi > 0 THEN 'zero_inserted_after_nonzero_baseline' END,
+    CASE WHEN fetched = 0 AND pf > 0 THEN 'zero_fetched_after_nonzero_baseline' END], lambda x: x IS NOT NULL), ',') AS anomaly_list
+FROM h""")

@@ -23,7 +23,10 @@ from reviewlake.plans import jobs as JB
 from reviewlake.plans import store as ST
 from reviewlake.session import scratch_dir
 from reviewlake.sources import files as FL
+from reviewlake.streaming import checked as CK
 from reviewlake.streaming import ingest as SI
+from reviewlake.streaming import source as SRC
+from reviewlake.warehouse import ReviewWarehouse
 from reviewlake.sources import feed as FD
 from reviewlake.sources import fixture as FX
 
@@ -798,3 +801,70 @@ def _(spark, d):
 def _(spark, d):
     _t, metrics = _stream(spark, d)
     return SI.batch_metrics(spark, metrics)
+
+
+# ---------------------------------------------------------------- incremental run with the tables' promises
+def _checked(spark, d, root, run_id, ts, apps=None, **kw):
+    return CK.checked_incremental_job(spark, f"{root}/landing", root, AS_OF, ts, run_id, raw_apps=apps, time_col=TIME_COL, **kw)
+
+
+@q("stream_quarantine")
+def _(spark, d):
+    """Reviews of the incremental run whose app is not stored."""
+    root = scratch_dir(spark, "warehouse")
+    SRC.land_batches(batched(spark, d), f"{root}/landing")
+    _checked(spark, d, root, "run-1", RUN_TS, FX.raw_apps(spark, d))
+    return CK.quarantined(spark, root).select("review_id", "app_id", "score", "batch_no", "arrival_seq", "reject_reason")
+
+
+@q("stream_readmission")
+def _(spark, d):
+    """The stored reviews after a later pull of apps has let the quarantined ones in."""
+    root = scratch_dir(spark, "warehouse")
+    SRC.land_batches(batched(spark, d), f"{root}/landing")
+    _checked(spark, d, root, "run-1", RUN_TS, FX.raw_apps(spark, d))
+    _checked(spark, d, root, "run-2", RUN_TS2, FX.raw_apps_update(spark, d))
+    rows = ReviewWarehouse(spark, root).reviews()
+    return rows.select(*[c for c in TB.REVIEW_COLUMNS if c != "raw_data"])
+
+
+@q("stream_max_batches")
+def _(spark, d):
+    """Two runs over one landing folder, the first bounded to one batch: which run took which batch."""
+    root = scratch_dir(spark, "warehouse")
+    SRC.land_batches(batched(spark, d), f"{root}/landing")
+    _checked(spark, d, root, "run-1", RUN_TS, FX.raw_apps(spark, d), max_batches=1)
+    _checked(spark, d, root, "run-2", RUN_TS2)
+    m = CK.metrics(spark, root)
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("fetched_count", "cleaned_count", "inserted_count", "orphan_count")]
+    return m.groupBy("run_id", "batch_no").agg(*sums)
+
+
+@q("stream_events")
+def _(spark, d):
+    """The stored events of a run and of the readmission that follows it."""
+    root = scratch_dir(spark, "warehouse")
+    SRC.land_batches(batched(spark, d), f"{root}/landing")
+    _checked(spark, d, root, "run-1", RUN_TS, FX.raw_apps(spark, d))
+    _checked(spark, d, root, "run-2", RUN_TS2, FX.raw_apps_update(spark, d))
+    count = lambda k: F.get_json_object("payload", f"$.{k}").cast("bigint")
+    return CK.events(spark, root).select(
+        "run_id", "batch_no", "event", count("inserted_count").alias("inserted_count"), count("readmitted_count").alias("readmitted_count"))
+
+
+@q("failed_run_history")
+def _(spark, d):
+    """A batch that lands behind processed ones is refused: the run fails and leaves its rows."""
+    root = scratch_dir(spark, "warehouse")
+    b = batched(spark, d)
+    SRC.land_batches(b.where("batch_no > 0"), f"{root}/landing")
+    _checked(spark, d, root, "run-1", RUN_TS, FX.raw_apps(spark, d))
+    SRC.land_batches(b.where("batch_no = 0"), f"{root}/landing")
+    try:
+        _checked(spark, d, root, "run-2", RUN_TS2)
+    except SRC.LateBatch:
+        pass
+    h = JB.read_history(spark, root)
+    return h.select(
+        "run_id", "app_id", "status", "fetch_app_info", "batches_processed", "total_reviews_fetched", "total_reviews_inserted", "error_stage",
+        F.substring_index("error_message", ":", 1).alias("error_kind"), F.array_join("monitoring.anomalies", ",").alias("anomaly_list"))

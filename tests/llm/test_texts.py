@@ -66,6 +66,35 @@ def test_toxicity_learns_and_rejects(spark):
     assert toxicity.score(docs.limit(0), m).count() == 0
 
 
+def test_one_doubled_letter_is_read_as_the_whole_search_reads_it(monkeypatch):
+    rng = np.random.default_rng(3)
+    lm = toxicity.language_model(rng.integers(0, 60, 32**3)).tolist()
+    words = ["".join(rng.choice(list("abc"), rng.integers(2, 9))) for _ in range(3000)]
+    fast = [toxicity.restore(w, lm) for w in words]
+    assert sum(toxicity._one_double(w) > 0 for w in words) > 500 and sum(f != w for f, w in zip(fast, words, strict=True)) > 100
+    monkeypatch.setattr(toxicity, "_one_double", lambda token: 0)
+    assert fast == [toxicity.restore(w, lm) for w in words]
+
+
+def test_toxicity_on_held_out_labels(spark):
+    from reviewlake.llm.queries import Q
+
+    sf = "/root/testdata/sf0.01"
+    got = {r.doc_id: r for r in Q["op7_toxicity"](spark, sf).collect()}
+    truth = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    held = [(got[i], y) for i, y in truth.items() if y is not None and i in got and got[i].held_out]
+    assert len(held) > 20 and any(y for _, y in held)
+    assert sum(r.predicted == y for r, y in held) >= 0.95 * len(held)
+    assert len(got) == spark.read.parquet(f"{sf}/documents.parquet").count() and all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_toxicity_keeps_columns_of_any_name_and_repeated_rows(spark):
+    docs = spark.createDataFrame([(1, "fine words", 7, "a"), (1, "fine words", 7, "a"), (2, "w " * 100_000, 8, "b")], "doc_id long, text string, __ int, c0 string")
+    m = toxicity.train(docs, spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int"))
+    kept = toxicity.reject(docs, m, limit=2.0)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
+
+
 def brute_forward(word, pieces):
     if not word:
         return 1.0

@@ -41,6 +41,13 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns named c0, c1, ..., and the new names of ``names``: no column of
+    the caller can then clash with an operator's own."""
+    new = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*new.values()), [new[n] for n in names]
+
+
 def crc_bucket(col: Column, n: int) -> Column:
     """crc32 of the value as text, modulo ``n``; a null value counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % F.lit(n)

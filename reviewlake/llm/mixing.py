@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from reviewlake.llm.common import stage
+from reviewlake.llm.common import numbered, stage
 
 HASH_BITS = 60
 STEP_BITS = 12  # bits refined at once: a histogram has at most 4096 buckets a source
@@ -176,6 +176,8 @@ def mix_rows(
     The plan per source comes from the narrow rows; the documents themselves are
     filtered and repeated in place, without a shuffle of their texts.
     """
+    columns = docs.columns
+    docs, (id_col, text_col, source_col) = numbered(docs, id_col, text_col, source_col)
     _, plan = mix_plan(docs, weights, share, most, id_col, text_col, source_col)
     side = (F.broadcast(plan) if _small(plan) else plan).drop("source_size", "target")
     return (
@@ -183,5 +185,5 @@ def mix_rows(
         .join(side, F.col(f"`{source_col}`").cast("string").eqNullSafe(F.col("__s")))
         .withColumn("__n", _copies(F.col("__h"), most).cast("int")).where("__n > 0")
         .withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("__n"))))
-        .drop("__h", "__s", "__whole", "__cut", "__n", "__i")
+        .select(*docs.columns).toDF(*columns)
     )

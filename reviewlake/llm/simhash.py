@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewlake.llm.common import connected, pick, stage
+from reviewlake.llm.common import connected, numbered, pick, stage
 
 CROWDED = 64  # members from which on a bucket's main component gets its own lane
 CHUNK = 1 << 18  # shingle hashes turned into bit counts at once (16 MB of bits)
@@ -208,6 +208,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     A row is known by 128 bits of hash over all its columns, never by its id: ids may be
     null or stand for several texts, and every group still keeps its own row.
     """
+    columns = docs.columns
+    docs, (id_col, text_col) = numbered(docs, id_col, text_col)
     hashed = docs.withColumns({"__a": _row_hash(docs, 1), "__b": _row_hash(docs, 2)})
     fps = stage(fingerprints(hashed, id_col, text_col, shingle, more=("__a", "__b")), "fingerprints")
     comps = fingerprint_components(fps, max_bits)
@@ -220,4 +222,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     # row_number() = 1 is limited map-side by Spark before the shuffle, so a row repeated many times stays cheap
     w = Window.partitionBy("__a", "__b").orderBy(f"`{id_col}`")
     once = hashed.withColumn("__n", F.row_number().over(w)).where("__n = 1")
-    return once.join(keep, ["__a", "__b"], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.join(keep, ["__a", "__b"], "left_semi").select(*docs.columns).toDF(*columns)

@@ -42,3 +42,16 @@ def test_edges(spark):
     against_sql(spark, [(1, None, "a"), (2, "", "a"), (3, "x y", None), (3, "x y", None), (None, "q r s", "b"), (None, None, None)])
     df = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(df).count() == 0 and mixing.mix_rows(df).count() == 0
+
+
+def test_columns_of_any_name_come_through_unchanged(spark):
+    from reviewlake.llm import simhash
+
+    schema = "doc_id long, text string, source string, __n int, __h string, __a int, __s int, c0 string, `a.b` int"
+    rows = [(i, f"one two three four five {i} {i * 7} {i * 13}", "s", i, "h", i + 1, i + 2, "c", i) for i in range(20)]
+    df = spark.createDataFrame(rows, schema)
+    assert simhash.keep_one(df).columns == df.columns
+    assert set(map(tuple, simhash.keep_one(df).collect())) <= set(rows)
+    mixed = mixing.mix_rows(df)
+    assert mixed.columns == df.columns and set(map(tuple, mixed.collect())) <= set(rows)
+    assert mixed.count() > 0

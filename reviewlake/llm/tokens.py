@@ -40,7 +40,8 @@ class WordIds:
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        # the batch call that does not follow the places of ids in the text; the ids are those of encode
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _learn(self, words: list[str]) -> None:
         """Puts the ids of ``words`` into the cache: one call for all, cut after each id that ends a pre-token."""

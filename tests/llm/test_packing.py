@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -28,11 +29,16 @@ def check(rows, got):
             at += n
         assert at <= 2048
     assert sum(r.length for r in got) == sum(map(len, want))
+    rows_of = Counter((i, len(tok.encode(t or "", add_special_tokens=False).ids) + 1) for i, t in rows)
     for i, t in rows:
         ids = np.array([*tok.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4")
         pieces = docs[(i, len(ids))]
         for s, n, crc in pieces:
             assert zlib.crc32(ids[s : s + n].tobytes()) == crc
+        if rows_of[i, len(ids)] == 1:  # each id lies in exactly one piece
+            starts = sorted((s, n) for s, n, _ in pieces)
+            assert [s for s, _ in starts] == [sum(n for _, n in starts[:j]) for j in range(len(starts))]
+            assert sum(n for _, n in starts) == len(ids)
     return by_seq
 
 

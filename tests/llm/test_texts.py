@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import public_tokenizers
@@ -181,6 +182,17 @@ def test_conversations_read_back(spark):
     assert chat.digests(chat.format_conversations(df.limit(0))).count() == 0
 
 
+def test_license_scan_is_linear(spark):
+    n = 1_000_000
+    mit = licenses.SENTENCES["f"]
+    rows = [(1, " " * n + mit), (2, mit + "." * n), (3, "\n" * n + mit), (4, mit + " x" + " \t\r" * (n // 3) + "y"), (5, ("a. " * (n // 3) + mit + " ") * 2 + "b"), (6, mit + "\n" + ";" * n + "x")]
+    start = time.monotonic()
+    got = {r.doc_id: r.licences for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.monotonic() - start < 30
+    assert {i: got[i] for i in (1, 3, 5)} == {1: "MIT", 3: "MIT", 5: "MIT"} and len(got) == 6
+    assert licenses.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
 def test_license_rules(spark):
     apache = ('Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance\nwith the License. '
               "You may obtain a copy of the License at\n\nhttp://x.y\n")

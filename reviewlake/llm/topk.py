@@ -9,6 +9,10 @@ depth t, bounds every object not yet seen.  A query stops in a block as soon as
 threshold is below its k-th score; the bounds of a batch of queries are walked together.
 The best of all blocks are the best of the whole table, so the result is exact.
 
+Scores are exact integers.  Where a product can pass 2**53, the walk goes by its double with a
+margin for rounding, and every vector within the margin of the k-th is scored again in whole
+numbers.  A component or score beyond 64 bits is held at the nearest 64-bit number.
+
 Edge cases, all defined: null vectors and vectors with a null or non-finite component
 take no part; vectors of other lengths than the query's are no candidates of it; ties
 go to the smaller id; a query with fewer candidates than k returns them all; repeated
@@ -61,11 +65,22 @@ def top_rows(scores: np.ndarray, seen: np.ndarray, least: np.ndarray, k: int) ->
     return out
 
 
+EXACT = 2.0**53  # doubles hold every integer up to here
+LOW, HIGH = -(2**63), 2**63 - 1
+
+
+def whole_product(a: np.ndarray, b: np.ndarray) -> int:
+    """Inner product of two 64-bit integer vectors, held within 64 bits."""
+    return min(max(sum(map(int.__mul__, a.tolist(), b.tolist())), LOW), HIGH)
+
+
 class SortedLists:
-    """A block's vectors with a sorted list per dimension, as ranks from either end."""
+    """A block's integer vectors with a sorted list per dimension, as ranks from either end."""
 
     def __init__(self, x: np.ndarray, least: np.ndarray):
-        self.x, self.least = x, least
+        self.whole, self.least = x.astype(np.int64), least
+        self.x = x = x.astype(np.float64)
+        self.most = np.abs(x).max(axis=0, initial=0)
         n = len(x)
         order = np.argsort(-x, axis=0, kind="stable")
         self.down = np.take_along_axis(x, order, axis=0)  # values from the largest
@@ -73,8 +88,11 @@ class SortedLists:
         np.put_along_axis(self.rank, order, np.arange(n, dtype=np.int32)[:, None], axis=0)
 
     def search(self, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """(rows, scores) of the k best per query, by the threshold algorithm."""
-        n = len(self.x)
+        """(rows, scores as 64-bit integers) of the k best per query, by the threshold algorithm."""
+        n, whole, q = len(self.x), q.astype(np.int64), q.astype(np.float64)
+        largest = np.abs(q) @ self.most
+        # twice what rounding can add to a sum, or nothing where all sums are exact
+        margin = np.where(largest < EXACT, 0, largest * (q.shape[1] + 8) * 2.0**-51)
         up, low = np.maximum(q, 0), np.minimum(q, 0)
         found: list = [None] * len(q)
         live = np.arange(len(q))
@@ -89,19 +107,25 @@ class SortedLists:
             now = near > 0 if depth < n else np.ones((n, len(live)), dtype=bool)
             # random access: whole scores of the objects that some query of the batch has newly seen
             new = np.flatnonzero((now & ~seen[:, live]).any(axis=1))
-            scores[np.ix_(new, live)] = self.x[new] @ q[live].T
+            scores[np.ix_(new, live)] = np.clip(self.x[new] @ q[live].T, LOW, HIGH)
             seen[:, live] |= now
             best = top_rows(scores[:, live], seen[:, live], self.least, k)
-            bound = self.down[depth - 1] @ up[live].T + self.down[n - depth] @ low[live].T
+            bound = np.clip(self.down[depth - 1] @ up[live].T + self.down[n - depth] @ low[live].T, LOW, HIGH)
             rest = []
             for j, (i, rows) in enumerate(zip(live, best, strict=True)):
-                if depth == n or (len(rows) == k and scores[rows[-1], i] > bound[j]):
-                    found[i] = (rows, scores[rows, i])
+                if depth == n or (len(rows) == k and scores[rows[-1], i] - margin[i] > bound[j]):
+                    found[i] = (rows, scores[rows, i].astype(np.int64)) if not margin[i] else self.settle(whole[i], scores[:, i], seen[:, i], rows, margin[i], k)
                 else:
                     rest.append(i)
             live, depth = np.array(rest, dtype=int), depth * 4
         return found
 
+    def settle(self, q: np.ndarray, scores: np.ndarray, seen: np.ndarray, rows: np.ndarray, margin: float, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k best by whole numbers, from all seen rows that rounding may have put behind the k-th."""
+        near = np.flatnonzero(seen & (scores >= scores[rows[-1]] - margin))
+        best = sorted((-whole_product(self.whole[r], q), int(self.least[r]), r) for r in near)[:k]
+        return np.array([r for _, _, r in best]), np.array([-s for s, _, _ in best], dtype=np.int64)
+
 
 def grid(cands: DataFrame, queries: DataFrame, run, schema: str) -> DataFrame:
     """Every block of candidates with every block of queries, one pair of blocks a task."""
@@ -114,8 +138,8 @@ def grid(cands: DataFrame, queries: DataFrame, run, schema: str) -> DataFrame:
     return p.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(run, schema)
 
 
-def matrix(col: pa.ChunkedArray) -> list[np.ndarray]:
-    return [np.asarray(x, dtype=np.float64) for x in col.to_pylist()]
+def matrix(col: pa.ChunkedArray, dtype: type = np.float64) -> list[np.ndarray]:
+    return [np.asarray(x, dtype=dtype) for x in col.to_pylist()]
 
 
 def by_length(vs: list[np.ndarray]) -> dict[int, np.ndarray]:
@@ -153,7 +177,7 @@ def top_inner_products(df: DataFrame, is_query: Column, k: int = 20, id_col: str
     queries = stage(asked.select("v").distinct(), "queries")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        qs, xs = matrix(left.column("v")), matrix(right.column("v"))
+        qs, xs = matrix(left.column("v"), np.int64), matrix(right.column("v"), np.int64)
         ids = right.column("ids").to_pylist()
         rows: tuple[list, list, list] = ([], [], [])
         by = by_length(xs)
@@ -165,7 +189,7 @@ def top_inner_products(df: DataFrame, is_query: Column, k: int = 20, id_col: str
             for s in range(0, len(mine), BATCH):
                 part = mine[s : s + BATCH]
                 for i, (hit, score) in zip(part, block.search(np.array([qs[i] for i in part]), k + 1), strict=True):
-                    vec = qs[i].astype(np.int64).tolist()
+                    vec = qs[i].tolist()
                     for h, sc in zip(hit, score, strict=True):
                         rows[0].append(vec)
                         rows[1].append(int(sc))

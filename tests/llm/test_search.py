@@ -1,3 +1,5 @@
+import math
+
 import duckdb
 import numpy as np
 from pyspark.sql import functions as F
@@ -42,6 +44,21 @@ def test_sorted_lists_stop_early_and_stay_exact():
         assert rows.tolist() == want.tolist() and scores.tolist() == s[want].tolist()
 
 
+def test_large_components_are_exact(spark):
+    rnd = np.random.default_rng(7)
+    for size in (1e5, 1e7, 1e9, 1e12, 1e17, 1e19, 1e300):
+        rows = [(i, (rnd.normal(size=6) * size).tolist()) for i in range(200)]
+        rows += [(300 + i, [*rows[i][1][:5], rows[i][1][5] + 1 / 64]) for i in range(100)]  # a little more than a row before
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = topk.top_inner_products(df, F.col("id") % 20 == 0, k=5).collect()
+        held = lambda n: min(max(n, -(2**63)), 2**63 - 1)
+        x = {i: [held(math.floor(c * 64)) if abs(c) < 1e306 else held(int(c)) for c in v] for i, v in rows}
+        for q in [i for i in x if i % 20 == 0]:
+            want = sorted((-held(sum(a * b for a, b in zip(x[q], v, strict=True))), i) for i, v in x.items() if i != q)[:5]
+            mine = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+            assert mine == [(n + 1, i, -s) for n, (s, i) in enumerate(want)], size
+
+
 def cosines(rows):
     x = {i: np.array(v, dtype=float) for i, v in rows if i is not None and v and all(c is not None and np.isfinite(c) for c in v) and any(v)}
     return x

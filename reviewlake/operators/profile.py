@@ -223,33 +223,23 @@ def numeric_summary(df: DataFrame, cols: list[str], method: str = "exact") -> Da
     Quartiles are exact with linear interpolation:
       * ``exact``: Spark's ``percentile`` — state is one counter per distinct
         value, merged in one task (fine for scores, counts, word counts);
-      * ``distributed``: ``operators.quantiles.exact_quantiles`` — same values,
-        bounded state per task, for continuous columns at any size;
+      * ``distributed``: ``operators.quantiles.exact_quantiles_of`` — same values,
+        bounded state, all columns in one pass a round, for continuous columns at any size;
       * ``approx``: the mergeable quantile sketch (``percentile_approx``).
     """
+    quartiles = None
     if method == "distributed":
-        from reviewlake.operators.quantiles import exact_quantile_values
-
-        parts = []
-        for c in cols:
-            x = F.col(c).cast("double")
-            q25, q50, q75 = exact_quantile_values(df, c, [0.25, 0.5, 0.75])
-            lit = lambda v: F.lit(v).cast("double")
-            parts.append(df.agg(
-                F.lit(c).alias("column_name"), F.count(x).alias("count"), _r(F.avg(x)).alias("mean"),
-                _r(F.stddev_samp(x)).alias("std"), _r(F.min(x)).alias("min"),
-                _r(lit(q25)).alias("p25"), _r(lit(q50)).alias("p50"), _r(lit(q75)).alias("p75"),
-                _r(F.max(x)).alias("max"),
-            ))
-        out = parts[0]
-        for p_ in parts[1:]:
-            out = out.unionByName(p_)
-        return out
+        from reviewlake.operators.quantiles import exact_quantiles_of
+
+        quartiles = exact_quantiles_of(df, cols, [0.25, 0.5, 0.75])
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = F.percentile_approx(x, probs, 10000) if method == "approx" else F.percentile(x, probs)
+        if quartiles:
+            q = F.array(*[F.lit(v).cast("double") for v in quartiles[c]])
+        else:
+            q = F.percentile_approx(x, probs, 10000) if method == "approx" else F.percentile(x, probs)
         aggs += [
             F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
             F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"),

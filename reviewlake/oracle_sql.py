@@ -94,7 +94,7 @@ SELECT e.event_id AS arrival_seq,
  CASE WHEN e.event_id % 41 = 0 THEN NULL WHEN e.event_id % 43 = 0 THEN 'bad' WHEN e.event_id % 47 = 0 THEN '0.6'
       WHEN e.event_id % 53 = 0 THEN '5.4' WHEN e.event_id % 59 = 0 THEN '4.5' WHEN e.event_id % 61 = 0 THEN '2.5'
       WHEN e.event_id % 67 = 0 THEN ' 3 ' ELSE cast(1 + e.user_id % 5 AS string) END AS score,
- CASE WHEN e.event_id % 71 = 0 THEN NULL WHEN e.event_id % 70 = 0 THEN ' ' WHEN e.event_id % 69 = 0 THEN 'nan'
+ CASE WHEN e.plain THEN concat(' ', d.text, ' ') WHEN e.event_id % 71 = 0 THEN NULL WHEN e.event_id % 70 = 0 THEN ' ' WHEN e.event_id % 69 = 0 THEN 'nan'
       WHEN e.event_id % 31 = 0 THEN '很好用的应用' WHEN e.event_id % 37 = 0 THEN 'Отличное приложение'
       WHEN e.event_id % 29 = 0 THEN 'تطبيق رائع جدا' WHEN e.event_id % 23 = 0 THEN 'Great app 😀🚀'
       WHEN e.event_id % 19 = 0 THEN 'ñandú àéîõü ok' WHEN e.event_id % 17 = 0 THEN concat('50% off_a', chr(92), 'b')
@@ -104,7 +104,12 @@ SELECT e.event_id AS arrival_seq,
  CASE WHEN e.user_id % 9 = 0 THEN NULL WHEN e.user_id % 9 = 1 THEN 'n/a' ELSE cast(e.user_id % 50 AS string) END AS thumbsUpCount,
  CASE WHEN e.user_id % 7 = 0 THEN NULL ELSE concat('1.', cast(e.user_id % 20 AS string)) END AS reviewCreatedVersion,
  CAST(NULL AS string) AS replyContent, CAST(NULL AS string) AS repliedAt, e.props AS extra
-FROM events e JOIN documents d ON d.doc_id = e.event_id % (SELECT greatest(count(*), 1) FROM documents)
+FROM (SELECT event_id, ts, user_id, event_type, props, event_id % (SELECT greatest(count(*), 1) FROM documents) AS shows, false AS plain FROM events
+ UNION ALL SELECT event_id + (SELECT count(*) FROM events), ts, user_id, event_type, props, event_id, true FROM events
+ WHERE event_id IN (SELECT doc_id FROM documents EXCEPT SELECT event_id % (SELECT greatest(count(*), 1) FROM documents) FROM events
+  WHERE event_id % 71 <> 0 AND event_id % 70 <> 0 AND event_id % 69 <> 0 AND event_id % 31 <> 0 AND event_id % 37 <> 0
+   AND event_id % 29 <> 0 AND event_id % 23 <> 0 AND event_id % 19 <> 0 AND event_id % 17 <> 0 AND event_id % 16 <> 0)) e
+JOIN documents d ON d.doc_id = e.shows
 )"""
 
 RAW_APPS = r"""raw_apps AS (

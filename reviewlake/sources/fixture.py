@@ -1,8 +1,9 @@
 """Raw feed views derived from the driver tables (the engine's test input).
 
 ``raw_reviews`` turns ``events`` (+ ``documents`` prose) into a dirty review
-feed with every trap the cleaner must handle: documents are the texts of reviews, whole,
-except those that only meet events whose text is replaced (see the README).  ``raw_apps`` turns every ``part`` row into app metadata.  The same derivation exists as SQL text in
+feed with every trap the cleaner must handle: every document is the text of some review, whole;
+one that only meets events whose text is replaced comes once more in a review of its own, after
+the events.  ``raw_apps`` turns every ``part`` row into app metadata.  The same derivation exists as SQL text in
 ``reviewlake.oracle_sql`` for the independent DuckDB check.
 
 Fixed values (the dirt patterns, chosen once for the fixture):
@@ -35,13 +36,33 @@ def _when_chain(*pairs, otherwise):
     return expr.otherwise(otherwise)
 
 
-def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dirty review feed, one row per event; ``arrival_seq`` is the feed order."""
+# An event whose id is divisible by one of these has its text replaced.
+TEXT_DIRT = (71, 70, 69, 31, 37, 29, 23, 19, 17, 16)
+
+
+def _shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the document each one shows, and the reviews of the documents that none shows.
+
+    Such a review is the event of the document's own number, moved behind the last event;
+    ``plain`` marks it: its text is not replaced.
+    """
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    ids = table(spark, sf_dir, "documents").select("doc_id")
+    # the numbers of documents and events are read from the files' metadata
+    n, behind = max(ids.count(), 1), e.count()
+    clean = e.where(" AND ".join(f"event_id % {m} <> 0" for m in TEXT_DIRT)).select((F.col("event_id") % n).alias("doc_id")).distinct()
+    hidden = ids.join(clean, "doc_id", "left_anti").withColumnRenamed("doc_id", "event_id")
+    own = e.join(hidden, "event_id", "left_semi")
+    shown = e.select("*", (F.col("event_id") % n).alias("shows"), F.lit(False).alias("plain"))
+    return shown.union(own.select((F.col("event_id") + behind).alias("event_id"), *e.columns[1:], F.col("event_id"), F.lit(True)))
+
+
+def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty review feed, one row per event and per document no event shows; ``arrival_seq`` is the feed order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"))
-    # the number of documents is read from the files' metadata; the join is left to the
-    # optimiser, which shuffles both sides when the texts are large
-    j = e.join(docs, (e.event_id % F.lit(max(docs.count(), 1))) == docs.doc_id, "inner")
+    # the join is left to the optimiser, which shuffles both sides when the texts are large
+    e = _shown(spark, sf_dir)
+    j = e.join(docs, e.shows == docs.doc_id, "inner")
 
     eid, uid = F.col("event_id"), F.col("user_id")
     s = lambda x: x.cast("string")
@@ -68,6 +89,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         otherwise=s(F.lit(1) + uid % 5),
     )
     content = _when_chain(
+        (F.col("plain"), F.concat(F.lit(" "), F.col("doc_text"), F.lit(" "))),
         (eid % 71 == 0, F.lit(None).cast("string")),
         (eid % 70 == 0, F.lit(" ")),
         (eid % 69 == 0, F.lit("nan")),

@@ -1,6 +1,10 @@
 """Resumable page reads over a landing table; ragged page union; field contract."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from reviewlake.sources import feed as FD
+from reviewlake.sources.fixture import raw_reviews, table
 
 
 def test_pages_cover_the_feed_without_overlap(spark):
@@ -27,3 +31,11 @@ def test_ragged_union_and_contract(spark):
     c = {(r.field): (r.missing_rows, r.all_missing) for r in
          FD.required_field_conformance(u.withColumn("g", u.arrival_seq * 0), ["g"]).collect()}
     assert c == {"reviewId": (1, False), "content": (1, False), "score": (0, False)}
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_every_document_is_read_whole(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    shown = raw_reviews(spark, d).select(F.expr("substring(content, 2, length(content) - 2)").alias("text"))
+    lost = table(spark, d, "documents").select("text").where("text IS NOT NULL").join(shown, "text", "left_anti")
+    assert lost.count() == 0

@@ -81,7 +81,11 @@ def change_pct(cur, prev):
 
 def run_monitoring(history: DataFrame) -> DataFrame:
     """Previous run, % changes and anomaly flags for every run in the history."""
-    p = previous_run(history)
+    return judge_runs(previous_run(history))
+
+
+def judge_runs(p: DataFrame) -> DataFrame:
+    """% changes and anomaly flags of runs that carry their previous run's columns."""
     fetched = F.coalesce(F.col("total_reviews_fetched"), F.lit(0))
     inserted = F.coalesce(F.col("total_reviews_inserted"), F.lit(0))
     has_prev = F.col("previous_run_id").isNotNull()

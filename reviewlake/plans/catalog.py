@@ -14,6 +14,7 @@ from reviewlake.functions import coerce as C
 from reviewlake.functions import text as T
 from reviewlake.functions import timeparts as TP
 from reviewlake.operators import clean as CL
+from reviewlake.operators import counters as CN
 from reviewlake.operators import monitor as M
 from reviewlake.operators import profile as P
 from reviewlake.operators import reads as R
@@ -108,7 +109,7 @@ def _(spark, d):
 
 @q("cleaning_stats")
 def _(spark, d):
-    return CL.cleaning_stats(CL.tag_reviews(raw(spark, d)))
+    return CN.cleaning_counts(raw(spark, d))
 
 
 @q("clean_apps")
@@ -552,9 +553,7 @@ def _(spark, d):
 
 
 def _metrics(spark, d):
-    b = batched(spark, d)
-    c = IG.incremental_clean(b, AS_OF, time_col=TIME_COL)
-    return IG.batch_metrics(b, c, IG.incremental_inserted(c))
+    return CN.batch_counts(batched(spark, d))
 
 
 @q("batch_metrics")
@@ -617,8 +616,8 @@ def _(spark, d):
 
 @q("standard_run_summary")
 def _(spark, d):
-    raw2, run = _standard(spark, d)
-    return IG.standard_run_summary(raw2, run)
+    first, second = _loads(spark, d)
+    return CN.standard_counts(second, apps(spark, d), reviews_from(first, spark))
 
 
 # ---------------------------------------------------------------- monitoring

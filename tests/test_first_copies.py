@@ -1,9 +1,11 @@
 """First copies per key without moving the rows whose key comes once; samples, files and stored rows at volume."""
 
+import glob
 import random
 
 
 from reviewlake.operators import clean as CL
+from reviewlake.plans import store as ST
 from reviewlake.plans.catalog import Q
 
 SF = "/root/testdata/sf0.001"
@@ -24,3 +26,19 @@ def test_texts_of_ids_that_come_once_are_not_shuffled(spark):
     p = Q["clean_reviews"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     window, once = p.split("NOT coalesce(getbit")  # the marked rows come first, then the union's other side
     assert p.lstrip().startswith("Union") and "Window [row_number" in window and "Window" not in once
+
+
+def test_stored_ranges_follow_the_volume_and_not_the_cores(spark, scratch):
+    df = spark.range(40000).selectExpr(
+        "concat('r', id) review_id", "'a' app_id", "timestamp_ntz '2024-01-01' reviewed_at", "sha2(cast(id as string), 512) content")
+    path = scratch("store")
+    keep = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ST.write_reviews(df, path, mode="errorifexists")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", keep)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(glob.glob(f"{path}/app_id=a/*.parquet")) > spark.sparkContext.defaultParallelism
+    assert spark.read.parquet(path).count() == 40000

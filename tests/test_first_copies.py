@@ -6,7 +6,8 @@ import random
 
 from reviewlake.operators import clean as CL
 from reviewlake.plans import store as ST
-from reviewlake.plans.catalog import Q
+from reviewlake.plans.catalog import AS_OF, Q
+from reviewlake.warehouse import ReviewWarehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -42,3 +43,21 @@ def test_stored_ranges_follow_the_volume_and_not_the_cores(spark, scratch):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(glob.glob(f"{path}/app_id=a/*.parquet")) > spark.sparkContext.defaultParallelism
     assert spark.read.parquet(path).count() == 40000
+
+
+def test_insert_stages_the_texts_once(spark, scratch, monkeypatch):
+    from reviewlake import warehouse as W
+
+    cols = "arrival_seq bigint, app_id string, reviewId string, score string, content string, at string"
+    feed = spark.createDataFrame([(i, "ab"[i % 2], f"r{i}", "5", f"text {i}", None) for i in range(10)], cols)
+    for bound in (2_000_000, 0):  # broadcast lists of rows, and shuffled ones
+        monkeypatch.setattr(W, "BROADCAST_ROWS", bound)
+        root = scratch("warehouse")
+        wh = ReviewWarehouse(spark, root)
+        wh.upsert_apps(spark.createDataFrame([("a", "title")], "appId string, title string"), "2024-02-01 06:00:00")
+        first = wh.insert_reviews(CL.clean_reviews(feed, AS_OF), "2024-02-01 06:00:00", stage=f"{root}/_stage/one", frames=True)
+        assert (first["cleaned"], first["inserted"], first["orphans"]) == (10, 5, 5) and first["new"].count() == 5
+        again = wh.insert_reviews(CL.clean_reviews(feed, AS_OF), "2024-02-02 06:00:00")
+        assert (again["cleaned"], again["inserted"], again["orphans"]) == (10, 0, 5)
+        assert wh.reviews().count() == 5 and spark.read.parquet(f"{root}/quarantine").count() == 10
+        assert spark.read.parquet(f"{root}/_stage/one/judged").columns == ["__order", "reject_reason"]

@@ -7,6 +7,7 @@ import random
 from reviewlake.operators import clean as CL
 from reviewlake.plans import store as ST
 from reviewlake.plans.catalog import AS_OF, Q
+from reviewlake.sources import files as FL
 from reviewlake.warehouse import ReviewWarehouse
 
 SF = "/root/testdata/sf0.001"
@@ -45,6 +46,17 @@ def test_stored_ranges_follow_the_volume_and_not_the_cores(spark, scratch):
     assert spark.read.parquet(path).count() == 40000
 
 
+def test_packed_files_come_back_whole(spark, scratch):
+    rows = [("a\nb", ' "q" ', None), ("", "\\N x", "z")]
+    df = spark.createDataFrame(rows, "a string, b string, c string")
+    csv, js = scratch("csv"), scratch("json")
+    FL.write_csv(df, csv)
+    FL.write_json_lines(df, js, packed=True)
+    assert glob.glob(f"{csv}/*.csv.gz") and glob.glob(f"{js}/*.json.gz")
+    assert sorted(map(str, FL.read_csv(spark, csv, df.schema).collect())) == sorted(map(str, df.collect()))
+    assert sorted(map(str, FL.read_landing(spark, js, df.schema).collect())) == sorted(map(str, df.collect()))
+
+
 def test_insert_stages_the_texts_once(spark, scratch, monkeypatch):
     from reviewlake import warehouse as W
 

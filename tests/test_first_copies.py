@@ -3,8 +3,10 @@
 import glob
 import random
 
+from pyspark.sql import functions as F
 
 from reviewlake.operators import clean as CL
+from reviewlake.operators import reads as R
 from reviewlake.plans import store as ST
 from reviewlake.plans.catalog import AS_OF, Q
 from reviewlake.sources import files as FL
@@ -30,6 +32,18 @@ def test_texts_of_ids_that_come_once_are_not_shuffled(spark):
     assert p.lstrip().startswith("Union") and "Window [row_number" in window and "Window" not in once
 
 
+def test_sample_takes_the_smallest_hashes_of_few_rows(spark):
+    df = spark.range(30000).select(F.concat(F.lit("r"), "id").alias("id"), F.lit("text").alias("text"))
+    got = R.smallest_hashes(df, "id", 500)
+    assert "substring(md5" in got._jdf.queryExecution().optimizedPlan().toString()  # far fewer rows meet in the top-n
+    want = df.orderBy(F.md5("id"), "id").limit(500)
+    assert [r.id for r in got.collect()] == [r.id for r in want.collect()]
+    odd = spark.createDataFrame([(None,), ("a",), ("a",)], "id string")
+    for n in (1, 2, 3, 9):
+        assert R.smallest_hashes(odd, "id", n).collect() == odd.orderBy(F.md5("id"), "id").limit(n).collect()
+    assert R.smallest_hashes(odd.limit(0), "id", 5).count() == 0
+
+
 def test_stored_ranges_follow_the_volume_and_not_the_cores(spark, scratch):
     df = spark.range(40000).selectExpr(
         "concat('r', id) review_id", "'a' app_id", "timestamp_ntz '2024-01-01' reviewed_at", "sha2(cast(id as string), 512) content")

@@ -30,8 +30,8 @@ from reviewlake.operators.tables import REVIEW_COLUMNS, map_reviews, validate_re
 from reviewlake.plans import ledger as L
 from reviewlake.plans.jobs import record_run
 from reviewlake.plans.store import stage_table
-from reviewlake.streaming.ingest import LANDING_SCHEMA
-from reviewlake.streaming.source import BatchNumbers, LateBatch, landed_batches
+from reviewlake.streaming.ingest import LANDING_SCHEMA, MICRO_BATCH_BYTES
+from reviewlake.streaming.source import BatchNumbers, LateBatch, batches_per_trigger, landed_batches
 from reviewlake.warehouse import ReviewWarehouse
 
 METRICS = "run_id string, batch_no bigint, app_id string, fetched_count bigint, cleaned_count bigint, inserted_count bigint, orphan_count bigint"
@@ -81,7 +81,7 @@ class Run:
             fetched = raw.groupBy("batch_no", "app_id").agg(F.count("*").alias("fetched_count"))
             fetched = stage_table(fetched, f"{work}/fetched")
             self.stage = "clean_reviews"
-            cleaned = clean_reviews(raw, self.as_of, time_col=self.time_col, batch_col="batch_no")
+            cleaned = clean_reviews(raw, self.as_of, time_col=self.time_col, batch_col="batch_no", bounded=True)
             mapped = stage_table(map_reviews(cleaned, self.run_ts, keep=["batch_no", "arrival_seq"]), f"{work}/mapped")
             self.stage = "insert_reviews"
             judged = self.judge(mapped, f"{work}/judged")
@@ -103,15 +103,19 @@ class Run:
         L.finish(self.spark, self.root, name, self.run_id, "batches", numbers, _schema(self.wh), mended)
         self.stage = "fetch_reviews"
 
-    def drain(self, max_batches: int | None, step: int) -> None:
+    def drain(self, max_batches: int | None, step: int | None) -> None:
         spark, root = self.spark, self.root
         self.stage = "fetch_reviews"
+        there = landed_batches(spark, self.landing)
+        # a commit under way when a run died ends as it began, however large this run's micro-batches are
+        for numbers in L.open_batches(spark, root):
+            self.commit(numbers)
         done = {k for r in L.commits(spark, root).select("batches").collect() for k in r.batches}
         after = max(done, default=-1)
-        there = landed_batches(spark, self.landing)
         if late := [k for k in there if k <= after and k not in done]:
             raise LateBatch(f"batches {late[:10]} landed behind batch {after}")
         todo = [k for k in there if k > after][: max_batches or None]
+        step = step or batches_per_trigger(spark, self.landing, len(there), MICRO_BATCH_BYTES)
         # also without new batches: the checkpoint may hold a micro-batch that was not finished
         spark.dataSource.register(BatchNumbers)
         src = spark.readStream.format("feed_batches").options(after=after, last=todo[-1] if todo else after, step=step).load()
@@ -132,10 +136,12 @@ class Run:
 
 def checked_incremental_job(
     spark: SparkSession, landing: str, root: str, as_of, run_ts, run_id: str, raw_apps: DataFrame | None = None,
-    max_batches: int | None = None, step: int = 10, time_col: str = "at",
+    max_batches: int | None = None, step: int | None = None, time_col: str = "at",
 ) -> DataFrame:
     """One incremental run with history; ``max_batches``: 0 or None for all that has landed.
 
+    ``step``: batches a micro-batch; None for as many as make up ``MICRO_BATCH_BYTES``.
+
     Returns the run's history rows, one per app.  If the run raises, a failed row per app
     with the stage and the message is recorded first.
     """

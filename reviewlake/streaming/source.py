@@ -57,6 +57,14 @@ class BatchNumbers(DataSource):
         return BatchNumberReader(self.options)
 
 
+def batches_per_trigger(spark: SparkSession, landing: str, batches: int, volume: int, least: int = 10) -> int:
+    """Batches that make up about ``volume`` landed bytes (``least`` at least), by the landing folder's total."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(landing)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    total = fs.getContentSummary(p).getLength() if batches else 0
+    return max(least, batches * volume // max(total, 1)) if total else least
+
+
 def land_batches(feed: DataFrame, landing: str) -> None:
     """Adds a feed with ``batch_no`` to the landing folder, one folder per batch."""
     feed.repartition("batch_no").write.mode("append").partitionBy("batch_no").json(landing)

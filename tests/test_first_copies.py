@@ -28,7 +28,7 @@ def test_first_copies_equal_the_window_whatever_the_marks(spark, monkeypatch):
 
 def test_texts_of_ids_that_come_once_are_not_shuffled(spark):
     p = Q["clean_reviews"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    window, once = p.split("NOT coalesce(getbit")  # the marked rows come first, then the union's other side
+    window, once = p.split("NOT coalesce((getbit")  # the marked rows come first, then the union's other side
     assert p.lstrip().startswith("Union") and "Window [row_number" in window and "Window" not in once
 
 

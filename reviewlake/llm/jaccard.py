@@ -16,10 +16,15 @@ overlap from above; pairs whose bound is too small go inside the tile join, befo
 are rows.  What is left is checked by intersecting the sorted arrays.
 
 Large groups.  Equal sets are one class.  In each tile all classes are first checked
-against one hub (the smallest), which joins most of a group of near copies; then only
-pairs of different components are compared, and in a crowded tile the members of its
-main component are never compared among themselves.  Between members of one component
-a further link changes nothing, so no link between different components is lost.
+against one hub (the smallest).  A hub on the rim of a group of near copies joins few of
+them, and all pairs across the parts left would be the square of the group; in crowded
+tiles, rounds therefore follow in which ever larger samples of the members (8, 64, 512,
+...) are hubs, each checked against the members of other components only.  A member with
+many links meets a hub early and leaves, one with few makes few pairs in any round.  At
+last all pairs of different components not yet checked are compared, and in a crowded
+tile the members of its main component are never compared among themselves.  Between
+members of one component a further link changes nothing, so no link between different
+components is lost.
 
 Arrays are not stored: the classes that have a pair left are marked in a bit set of
 fixed size, and a second pass over the texts makes arrays for marked rows only (a false
@@ -45,7 +50,10 @@ from pyspark.sql import types as T
 
 from reviewlake.llm.common import connected, pick, stage
 
-CROWDED = 64  # members from which on a tile's main component gets a lane of its own
+CROWDED = 64  # members from which on a tile has sampled hubs, and its main component a lane of its own
+HUBS = 8  # sampled hubs of a crowded tile in the first round; each further round has WIDEN times as many
+WIDEN = 8
+FEW = 4  # a sample is taken of tiles with more than so many times its hubs
 LANES = 8  # longs of parity bits per set
 MARKS = 1 << 23  # bits of the mark set (1 MB, sent to every task)
 WORDS = 1 << 19  # distinct words a task remembers hashes of
@@ -196,6 +204,8 @@ def arrays(docs: DataFrame, needed: DataFrame, text_col: str, shingle: int) -> D
 def linked_pairs(docs: DataFrame, pairs: DataFrame, classes: DataFrame, text_col: str, shingle: int, percent: int, name: str) -> DataFrame:
     """Those of ``pairs`` (a, b) whose sets link, by intersecting their sorted arrays."""
     pairs = stage(pairs.distinct(), f"{name}-pairs")
+    if pairs.isEmpty():
+        return pairs
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     needed = stage(classes.select("cid", "t1", "t2").join(ends, "cid"), f"{name}-needed")
     h = stage(arrays(docs, needed, text_col, shingle), f"{name}-arrays")
@@ -231,8 +241,8 @@ def jaccard_components(
         return classes.select(F.explode(kind).alias("key"), F.lit(kind == "home").alias("own"), "cid")
 
     members = keys("home").union(keys("visit"))
-    hubs = members.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("last"), F.max("own").alias("own"))
-    hubs = stage(hubs.where("hub < last AND own").select("key", "hub"), "hubs")
+    hubs = members.groupBy("key").agg(F.min("cid").alias("hub"), F.max("cid").alias("last"), F.max("own").alias("own"), F.count(F.lit(1)).alias("m"))
+    hubs = stage(hubs.where("hub < last AND own").select("key", "hub", "m"), "hubs")
     tiles = stage(members.join(hubs, "key"), "tiles")
 
     narrow = classes.select("cid", "n", *bits)
@@ -255,28 +265,50 @@ def jaccard_components(
     labelled = narrow.join(comps, narrow.cid == comps.node, "left").select("cid", "n", *bits, F.coalesce("comp", "cid").alias("comp"))
     in_tiles = stage(labelled.join(tiles.select("cid").distinct(), "cid", "left_semi"), "labelled")
 
+    def merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        """``labels`` after the components that ``links`` (a, b) join have become one."""
+        label = labels.select("cid", "comp")
+        joined = links.join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        found = connected(joined, name)
+        return labels.join(found, labels.comp == found.node, "left").select("cid", "n", *bits, F.coalesce(found.comp, labels.comp).alias("comp"))
+
+    sent, kept = ([F.col(c).alias(x + c) for c in ["cid", "own", "comp", "n", *bits]] for x in "pq")
+    other = (F.col("pcomp") != F.col("qcomp")) & (F.col("pown") | F.col("qown"))
+    ends = [F.least("pcid", "qcid").alias("a"), F.greatest("pcid", "qcid").alias("b")]
+    # a member's place in its tile's random order, about; the same classes come first in all tiles
+    place = F.pmod(F.xxhash64(F.lit(3), "cid"), F.lit(1 << 31)) / F.lit(1 << 31) * F.col("m")
+
+    # sampled hubs of crowded tiles against the members of other components, in rounds of ever more hubs
+    hubs_of, done, k = F.lit(0), 0, HUBS  # hubs_of: the hubs a tile has had; done: those of one that is in all rounds
+    while True:
+        large = tiles.where((F.col("m") >= CROWDED) & (F.col("m") > FEW * k)).select("key", "own", "m", "cid")
+        seats = stage(large.join(in_tiles, "cid"), "round-seats")
+        mixed = stage(seats.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key"), "round-mixed")
+        if mixed.isEmpty():
+            break
+        seats = seats.join(mixed, "key").where(place >= done)
+        met = seats.select("key", *sent).join(seats.where(place < k).select("key", *kept), "key").where(other & near("p", "q"))
+        links = linked_pairs(docs, met.select(*ends), classes, text_col, shingle, percent, "round")
+        in_tiles = stage(merged(in_tiles, links, "round"), "labelled")
+        hubs_of, done, k = F.when(F.col("m") > FEW * k, k).otherwise(hubs_of), k, k * WIDEN
+
     # then pairs of different components, with lanes for crowded tiles
-    seats = tiles.select("key", "own", "cid").join(in_tiles, "cid")
+    seats = stage(tiles.select("key", "own", "m", "cid").join(in_tiles, "cid"), "seats")
     crowded = stage(
-        seats.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("m"))
-        .groupBy("key").agg(F.sum("m").alias("m"), F.max_by("comp", F.struct("m", "comp")).alias("main"), F.count(F.lit(1)).alias("k"))
+        seats.groupBy("key", "m", "comp").agg(F.count(F.lit(1)).alias("of"))
+        .groupBy("key", "m").agg(F.max_by("comp", F.struct("of", "comp")).alias("main"), F.count(F.lit(1)).alias("k"))
         .where("k > 1").select("key", F.when(F.col("m") >= CROWDED, F.col("main")).alias("main")),
         "crowded",
     )
-    seats = seats.join(crowded, "key")  # tiles of one component only are done
-    hits = seats.select("key", F.when(F.col("comp") == F.col("main"), 1).otherwise(0).alias("lane"), *[F.col(c).alias("q" + c) for c in ["cid", "own", "comp", "n", *bits]])
-    sent = [F.col(c).alias("p" + c) for c in ["cid", "own", "comp", "n", *bits]]
+    # tiles of one component only are done, and so are hubs
+    seats = seats.join(crowded, "key").where((F.col("m") < CROWDED) | (place >= hubs_of))
+    hits = seats.select("key", F.when(F.col("comp") == F.col("main"), 1).otherwise(0).alias("lane"), *kept)
     probes = seats.where("main IS NULL OR comp <> main").select("key", F.lit(0).alias("lane"), *sent)
     probes = probes.union(seats.where("comp <> main").select("key", F.lit(1).alias("lane"), *sent))
-    met = probes.join(hits, ["key", "lane"]).where(
-        (F.col("pcomp") != F.col("qcomp")) & (F.col("pown") | F.col("qown")) & ((F.col("lane") == 1) | (F.col("pcid") < F.col("qcid"))) & near("p", "q")
-    )
-    more = linked_pairs(docs, met.select(F.least("pcid", "qcid").alias("a"), F.greatest("pcid", "qcid").alias("b")), classes, text_col, shingle, percent, "links")
-    label = in_tiles.select("cid", "comp")
-    joined = more.join(label.toDF("a", "ca"), "a").join(label.toDF("b", "cb"), "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-    second = connected(joined, "links")
+    met = probes.join(hits, ["key", "lane"]).where(other & ((F.col("lane") == 1) | (F.col("pcid") < F.col("qcid"))) & near("p", "q"))
+    links = linked_pairs(docs, met.select(*ends), classes, text_col, shingle, percent, "links")
+    final = merged(in_tiles, links, "links").select("cid", "comp")
     # a set's component: over tiles and links where it has some, else itself; in digests, so that every set has one
-    final = in_tiles.join(second, in_tiles.comp == second.node, "left").select("cid", F.coalesce(second.comp, in_tiles.comp).alias("comp"))
     named = classes.select("cid", *digest).join(final, "cid")
     # the smallest id per set first, so that a hot group is one row before components are named
     least = sets.where("n > 0").groupBy(*digest).agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n_set")).join(named.drop("cid"), digest, "left")

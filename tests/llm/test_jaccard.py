@@ -73,6 +73,37 @@ def test_large_group_of_near_copies_with_lanes(spark):
     assert got(spark, rows) == brute(rows)
 
 
+def test_rounds_of_sampled_hubs_lose_no_link(spark, monkeypatch):
+    for name, value in (("CROWDED", 3), ("HUBS", 1), ("WIDEN", 2), ("FEW", 1)):
+        monkeypatch.setattr(jaccard, name, value)
+    rng = random.Random(6)
+    texts = [t for words in (12, 30, 61, 130) for edits in (1, 3, 5) for t in family(rng, words, edits, 35)]
+    rows = [(500 - i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (7, texts[40]), (7, texts[40]), (8, None)]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_pairs_grow_with_a_group_of_near_copies_not_with_its_square(spark, monkeypatch):
+    """Half of the copies have one edit and link with each other; those with two link with few."""
+    made, real = [], jaccard.stage
+
+    def counted(df, name):
+        out = real(df, name)
+        if name.endswith("-pairs"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counted)
+    rng = random.Random(5)
+    rows = []
+    for i in range(2000):
+        t = [f"w{j}" for j in range(150)]
+        for p in rng.sample(range(150), 1 + i % 2):
+            t[p] = f"e{i}_{p}"
+        rows.append((i, " ".join(t)))
+    assert {c for *_, c in got(spark, rows)} == {0}
+    assert sum(made) <= 8 * len(rows), made
+
+
 def test_empty_table(spark):
     assert got(spark, []) == []
 

@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from reviewlake.operators import monitor as M
 from reviewlake.operators.clean import clean_reviews, ts_literal
-from reviewlake.operators.tables import REVIEW_COLUMNS, map_reviews, validate_reviews
+from reviewlake.operators.tables import BROADCAST_ROWS, REVIEW_COLUMNS, map_reviews, validate_reviews
 from reviewlake.plans import ledger as L
 from reviewlake.plans.jobs import record_run
 from reviewlake.plans.store import stage_table
+from reviewlake.session import drop_folder
 from reviewlake.streaming.ingest import LANDING_SCHEMA, MICRO_BATCH_BYTES
 from reviewlake.streaming.source import BatchNumbers, LateBatch, batches_per_trigger, landed_batches
 from reviewlake.warehouse import ReviewWarehouse
@@ -61,12 +62,15 @@ class Run:
         paths = [f"{self.landing}/batch_no={k}" for k in numbers]
         return self.spark.read.schema(LANDING_SCHEMA).option("basePath", self.landing).json(paths)
 
-    def judge(self, mapped: DataFrame, stage: str) -> DataFrame:
-        """Every mapped row with its reject reason, against the key buckets and the live apps."""
+    def judge(self, mapped: DataFrame, stage: str, keep: list[str]) -> DataFrame:
+        """``keep`` and the reject reason of every mapped row, against the key buckets and the live apps;
+        told from the rows without their texts."""
         order = F.struct("batch_no", "arrival_seq").alias("__order")
+        given = F.when(F.col("content").isNotNull(), F.lit("")).alias("content")
+        facts = mapped.select(*dict.fromkeys(["review_id", "app_id", "score", *keep]), given, order)
         keys = L.stored_keys(self.spark, self.root, mapped)
-        judged = validate_reviews(mapped.withColumn("__order", order), keys, self.wh.apps(), "__order", incoming_rows=mapped.count())
-        return stage_table(judged.drop("__order"), stage)
+        judged = validate_reviews(facts, keys, self.wh.apps(), "__order", incoming_rows=mapped.count())
+        return stage_table(judged.select(*keep, "reject_reason"), stage)
 
     def commit(self, numbers: list[int]) -> None:
         """Takes one micro-batch in; a mended or repeated one ends in the same state."""
@@ -82,9 +86,10 @@ class Run:
             fetched = stage_table(fetched, f"{work}/fetched")
             self.stage = "clean_reviews"
             cleaned = clean_reviews(raw, self.as_of, time_col=self.time_col, batch_col="batch_no", bounded=True)
-            mapped = stage_table(map_reviews(cleaned, self.run_ts, keep=["batch_no", "arrival_seq"]), f"{work}/mapped")
+            staged = stage_table(cleaned.withColumn("__row", F.monotonically_increasing_id()), f"{work}/cleaned")
+            mapped = map_reviews(staged, self.run_ts, keep=["batch_no", "arrival_seq", "__row"], capture=cleaned.columns)
             self.stage = "insert_reviews"
-            judged = self.judge(mapped, f"{work}/judged")
+            judged = self.judge(mapped, f"{work}/judged", ["__row", "batch_no", "app_id"])
             reason = F.col("reject_reason")
             per = judged.groupBy("batch_no", "app_id").agg(
                 F.count("*").alias("cleaned_count"), F.count_if(reason.isNull()).alias("inserted_count"),
@@ -94,11 +99,18 @@ class Run:
             by_batch = metrics.groupBy("batch_no").agg(*[F.sum(c).alias(c) for c in ("fetched_count", "cleaned_count", "inserted_count")])
             events = M.batch_events(by_batch).select(F.lit(self.run_id).alias("run_id"), "batch_no", "event", "payload")
             keep = [*REVIEW_COLUMNS, "batch_no", "arrival_seq", "reject_reason"]
+            few = judged.count() <= BROADCAST_ROWS
+
+            def told(which: DataFrame) -> DataFrame:
+                which = which.select("__row", "reject_reason")
+                return mapped.join(F.broadcast(which) if few else which, "__row")
+
             L.prepare(self.spark, self.root, name, {
-                "rows": judged.where(reason.isNull()).select(*REVIEW_COLUMNS),
-                "rejects": judged.where(reason.isNotNull() & ~reason.isin(*SKIPPED)).select(*keep),
+                "rows": told(judged.where(reason.isNull())).select(*REVIEW_COLUMNS),
+                "rejects": told(judged.where(reason.isNotNull() & ~reason.isin(*SKIPPED))).select(*keep),
                 "metrics": metrics, "events": events,
             })
+            drop_folder(self.spark, work)
         self.stage = "insert_reviews"
         L.finish(self.spark, self.root, name, self.run_id, "batches", numbers, _schema(self.wh), mended)
         self.stage = "fetch_reviews"
@@ -191,20 +203,26 @@ def readmit(spark: SparkSession, root: str, run_ts, run_id: str) -> int:
     if not mended:
         work = f"{root}/_stage/{run_id}/{name}"
         waiting = quarantined(spark, root).where("reject_reason = 'orphan_app'")
-        arrived = waiting.join(run.wh.apps().select("app_id"), "app_id", "left_semi").drop("reject_reason")
-        ts = ts_literal(run_ts)
-        arrived = stage_table(arrived.withColumns({"created_at": ts, "updated_at": ts}), f"{work}/arrived")
-        if arrived.isEmpty():
+        arrived = waiting.join(run.wh.apps().select("app_id"), "app_id", "left_semi")
+        # their texts are read again for those that go in; an id comes once in a batch
+        given = F.when(F.col("content").isNotNull(), F.lit("")).alias("content")
+        facts = stage_table(arrived.select("commit", "batch_no", "arrival_seq", "review_id", "app_id", "score", given), f"{work}/arrived")
+        if facts.isEmpty():
             return 0
-        judged = run.judge(arrived.drop("commit"), f"{work}/judged")
-        new = judged.where("reject_reason IS NULL")
+        by = ["commit", "batch_no", "review_id"]
+        judged = run.judge(facts, f"{work}/judged", by)
+        into = judged.where("reject_reason IS NULL").select(*by)
+        ts = ts_literal(run_ts)
+        new = waiting.join(F.broadcast(into) if into.count() <= BROADCAST_ROWS else into, by, "left_semi")
+        new = new.withColumns({"created_at": ts, "updated_at": ts})
         payload = F.to_json(F.struct(F.count("*").cast("string").alias("readmitted_count")))
-        events = arrived.groupBy("batch_no").agg(payload.alias("payload"))
+        events = facts.groupBy("batch_no").agg(payload.alias("payload"))
         L.prepare(spark, root, name, {
             "rows": new.select(*REVIEW_COLUMNS),
-            "resolved": arrived.select(F.col("commit").alias("quarantined"), "batch_no", "arrival_seq"),
+            "resolved": facts.select(F.col("commit").alias("quarantined"), "batch_no", "arrival_seq"),
             "events": events.select(F.lit(run_id).alias("run_id"), "batch_no", F.lit("orphans_readmitted").alias("event"), "payload"),
         })
+        drop_folder(spark, work)
     L.finish(spark, root, name, run_id, "readmit", [], _schema(run.wh), mended)
     return L.commits(spark, root).where(F.col("commit") == name).select("rows").collect()[0].rows
 

@@ -14,6 +14,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
 
+from reviewlake.session import shuffles_freed
+
 
 class LateBatch(RuntimeError):
     """A batch landed behind one that is already processed; taking it in now would break feed order."""
@@ -66,8 +68,9 @@ def batches_per_trigger(spark: SparkSession, landing: str, batches: int, volume:
 
 
 def land_batches(feed: DataFrame, landing: str) -> None:
-    """Adds a feed with ``batch_no`` to the landing folder, one folder per batch."""
-    feed.repartition("batch_no").write.mode("append").partitionBy("batch_no").json(landing)
+    """Adds a feed with ``batch_no`` to the landing folder, one folder with a gzip file per batch."""
+    with shuffles_freed(feed.sparkSession):
+        feed.repartition("batch_no").write.mode("append").option("compression", "gzip").partitionBy("batch_no").json(landing)
 
 
 def landed_batches(spark: SparkSession, landing: str) -> list[int]:

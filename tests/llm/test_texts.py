@@ -2,6 +2,7 @@ import math
 import time
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 
@@ -250,3 +251,29 @@ def test_pipeline_against_the_stages_by_hand(spark):
     got = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in got} <= {r.doc_id for r in two}
     assert all(sum(x.length for x in got if x.doc_id == i) in (n, 2 * n) for i, n in {(r.doc_id, r.doc_tokens) for r in got})
+
+
+def test_features_of_many_texts_are_those_of_each(spark, monkeypatch):
+    texts = [None, b"", b"  ", b"you i d i o t there", b"\x01a b c\x02 x y z", b"\xc3\xa9 a b c", b"\xff\xfe id1ot, idiiot", b"you are an id!ot\x1f x", b"plain words"]
+    lm = toxicity.language_model(np.ones(toxicity.SYMBOLS**3))
+    each = [sorted(toxicity.Reader(lm).features(x)) for x in texts]
+    monkeypatch.setattr(toxicity, "VOLUME", 20)  # a few texts at once
+    row, f = toxicity.Reader(lm).pairs(pa.array([b"cut off", *texts], pa.binary()).slice(1))
+    assert [f[row == i].tolist() for i in range(len(texts))] == each
+    # readings that cannot matter are not searched, and the rest is as without the short cut
+    for keep in ({x: 1 for x in each[6]}, {x: 1 for x in toxicity.word_features(b"idiot")}, {}):
+        got = [sorted(toxicity.Reader(lm, keep).features(x)) for x in texts]
+        assert got == [[x for x in fs if x in keep] for fs in each]
+    assert set(toxicity.ways("id1iot,")) == {x + y + "ot" for x in ("id",) for y in ("ii", "li", "i")}
+    assert toxicity.restore("idiiot", lm.tolist()) in toxicity.ways("idiiot") and toxicity.ways("1" * 9) is None
+
+
+def test_trigrams_of_joined_texts_are_those_of_each(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "GRAM_ROWS", 3)
+    texts = [None, b"", b"ab", b" x ", b"", b"\xc3\xa9", b"a"]
+    got = toxicity.trigram_counts(spark.createDataFrame([(x,) for x in texts], "t binary").coalesce(1))
+    want = np.zeros_like(got)
+    for x in texts:
+        c = toxicity.CLASS[np.frombuffer(b"  " + (x or b"") + b" ", dtype=np.uint8)]
+        np.add.at(want, (c[:-2] * toxicity.SYMBOLS + c[1:-1]) * toxicity.SYMBOLS + c[2:], 1)
+    assert (got == want).all()
